@@ -29,7 +29,12 @@ def work_order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derive(spark, sf_dir, sql.EVENT_LINES).drop("f")
+    """Lines of event files, spread over the cores if the table is one small file."""
+    lines = derive(spark, sf_dir, sql.EVENT_LINES).drop("f")
+    cores = spark.sparkContext.defaultParallelism
+    if lines.rdd.getNumPartitions() < cores:
+        lines = lines.repartition(cores, "source_row_number")
+    return lines
 
 
 def stores(spark: SparkSession, sf_dir: str) -> Reference:

@@ -12,8 +12,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
-from workledger.functions.text import stripped
-
 # How a nested value that counts as "nothing there" prints.
 _EMPTY_JSON = ("null", "false", "0", "0.0", "-0.0", '""', "[]", "{}")
 
@@ -44,19 +42,23 @@ def member(value: Column, name: str) -> Column:
     return F.try_variant_get(value, f"$.{name}", "variant")
 
 
-def text(value: Column) -> Column:
-    """A value as text, whatever its JSON type; NULL for absent and null."""
-    return F.try_variant_get(value, "$", "string")
-
-
 def json_type(value: Column) -> Column:
     """Type name of a value: NULL when absent, ``VOID`` for JSON null."""
     return F.schema_of_variant(value)
 
 
-def string_only(value: Column) -> Column:
-    """The trimmed text of a JSON string; NULL for every other type."""
-    return F.when(json_type(value) == "STRING", stripped(text(value)))
+def texts(raw: Column, schema: str) -> Column:
+    """Scalars as text, whatever their JSON type; NULL for absent and null.
+
+    Reads all fields in one pass, which is far cheaper than casting variants to
+    strings one by one. Says nothing about types or about text after the value.
+    """
+    return F.from_json(raw, schema)
+
+
+def if_string(value: Column, text: Column) -> Column:
+    """``text`` where the JSON value is a string, NULL for every other type."""
+    return F.when(json_type(value) == "STRING", text)
 
 
 def is_given(value: Column) -> Column:

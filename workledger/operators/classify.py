@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from workledger import schemas
 from workledger.functions import payload as js
-from workledger.functions.text import is_blank, iso_timestamp
+from workledger.functions.text import is_blank, iso_timestamp, stripped
 from workledger.operators.existence import flag_known
 
 PROFILES = ("strict", "staged")
@@ -24,29 +24,47 @@ _FIELDS = (
     *("event_id", "work_order_id", "client_id", "event_type", "event_timestamp", "updated_at"),
     *("priority", "technician", "location", "labor", "source"),
 )
+_TEXTS = """event_id string, work_order_id string, client_id string, event_type string,
+    event_timestamp string, updated_at string, priority string, source string,
+    technician struct<id: string>, location struct<store_id: string, region: string>,
+    labor struct<minutes: string>"""
+
 _REQUIRED_TEXT = ("event_id", "work_order_id", "client_id")
 # Column -> its name in messages, the last part of its path.
 _OPTIONAL_TEXT = {"technician_id": "id", "store_id": "store_id", "region": "region", "source_system": "source"}
 _TIMES = {"event_timestamp_utc": "event_timestamp", "updated_at_utc": "updated_at"}
-
-
-def _values() -> dict[str, Column]:
-    """The JSON values behind the columns, as variants named ``_json_<column>``."""
-    top = {name: F.col("_fields")[name] for name in _FIELDS}
-    nested = {
-        "technician_id": js.member(top["technician"], "id"),
-        "store_id": js.member(top["location"], "store_id"),
-        "region": js.member(top["location"], "region"),
-        "labor_minutes": js.member(top["labor"], "minutes"),
-        "source_system": top["source"],
-    }
-    return {f"_json_{name}": value for name, value in (top | nested).items()}
+# Columns whose place in the document is not a top-level field of their name.
+_NESTED = {
+    "technician_id": ("technician", "id"),
+    "store_id": ("location", "store_id"),
+    "region": ("location", "region"),
+    "labor_minutes": ("labor", "minutes"),
+}
+
+
+def _parts() -> dict[str, Column]:
+    """``_json_<name>`` (a variant) and ``_text_<name>`` for every value the rules read."""
+    values, texts = F.col("_fields"), F.col("_texts")
+    parts = {f"_json_{name}": values[name] for name in _FIELDS}
+    parts |= {f"_text_{name}": texts[name] for name in _FIELDS if name not in ("technician", "location", "labor")}
+    for name, (outer, inner) in _NESTED.items():
+        parts[f"_json_{name}"] = js.member(values[outer], inner)
+        parts[f"_text_{name}"] = texts[outer][inner]
+    return parts | {"_json_source_system": values["source"], "_text_source_system": texts["source"]}
 
 
 def _json(name: str) -> Column:
     return F.col(f"_json_{name}")
 
 
+def _text(name: str) -> Column:
+    return F.col(f"_text_{name}")
+
+
+def _string(name: str) -> Column:
+    return js.if_string(_json(name), stripped(_text(name)))
+
+
 def _reject(condition: Column, reason: Column | str) -> Column:
     reason = F.lit(reason) if isinstance(reason, str) else reason
     return F.when(F.coalesce(condition, F.lit(False)), reason)
@@ -64,19 +82,20 @@ def _not_in(name: str, values: tuple[str, ...]) -> Column:
 
 
 def _strict_columns() -> dict[str, Column]:
-    priority, labor = _json("priority"), _json("labor_minutes")
     return {
-        **{name: js.string_only(_json(name)) for name in (*_REQUIRED_TEXT, *_OPTIONAL_TEXT)},
+        **{name: _string(name) for name in (*_REQUIRED_TEXT, *_OPTIONAL_TEXT)},
         **{f"_{name}_given": js.is_given(_json(name)) for name in _OPTIONAL_TEXT},
-        **{f"_{name}_text": js.string_only(_json(field)) for name, field in _TIMES.items()},
-        "event_type": F.upper(js.string_only(_json("event_type"))),
-        "_priority_given": js.is_given(priority),
-        "priority": F.when(js.json_type(priority) == "STRING", F.upper(js.text(priority))),
+        **{f"_{name}_text": _string(field) for name, field in _TIMES.items()},
+        "event_type": F.upper(_string("event_type")),
+        "_priority_given": js.is_given(_json("priority")),
+        "priority": js.if_string(_json("priority"), F.upper(_text("priority"))),
         "_technician_ok": js.is_object_or_empty(_json("technician")),
         "_location_ok": js.is_object_or_empty(_json("location")),
         "_labor_ok": js.is_object(_json("labor")) | ~js.is_given(_json("labor")),
-        "_labor_minutes_given": js.is_given(labor),
-        "labor_minutes": F.when(js.json_type(labor) == "BIGINT", F.try_variant_get(labor, "$", "bigint")),
+        "_labor_minutes_given": js.is_given(_json("labor_minutes")),
+        "labor_minutes": F.when(
+            js.json_type(_json("labor_minutes")) == "BIGINT", _text("labor_minutes").try_cast("bigint")
+        ),
     }
 
 
@@ -94,7 +113,8 @@ def _strict_reasons() -> list[Column]:
         ]
 
     return [
-        _reject(is_blank(F.col("raw")), "blank JSONL line"),
+        # No blank line is valid JSON, so only invalid lines are searched.
+        _reject(~F.col("_valid") & is_blank(F.col("raw")), "blank JSONL line"),
         _reject(~F.col("_valid"), "invalid JSON"),
         _reject(~js.is_object_text(F.col("raw")), "JSON document must be an object"),
         _reject(_missing("event_type"), "event_type is required"),
@@ -138,12 +158,12 @@ def _unknown(name: str, label: str) -> Column:
 
 
 def _staged_columns() -> dict[str, Column]:
-    labor = js.text(_json("labor_minutes"))
+    labor = _text("labor_minutes")
     return {
-        **{name: js.text(_json(name)) for name in (*_REQUIRED_TEXT, *_OPTIONAL_TEXT)},
-        **{f"_{name}_text": js.text(_json(field)) for name, field in _TIMES.items()},
-        "event_type": F.upper(js.text(_json("event_type"))),
-        "priority": F.upper(js.text(_json("priority"))),
+        **{name: _text(name) for name in (*_REQUIRED_TEXT, *_OPTIONAL_TEXT)},
+        **{f"_{name}_text": _text(field) for name, field in _TIMES.items()},
+        "event_type": F.upper(_text("event_type")),
+        "priority": F.upper(_text("priority")),
         "_labor_minutes_given": labor.isNotNull(),
         # A number in any notation, rounded half away from zero.
         "labor_minutes": F.round(labor.try_cast("decimal(38,9)")).try_cast("bigint"),
@@ -181,14 +201,14 @@ def normalize(lines: DataFrame, profile: str = "strict") -> DataFrame:
     if profile not in PROFILES:
         raise ValueError(f"unknown profile {profile!r}, expected one of {PROFILES}")
     raw, doc = F.col("raw"), F.col("_doc")
-    parsed = lines.withColumn("_doc", js.enclosed(raw)).withColumns(
+    parsed = lines.withColumns({"_doc": js.enclosed(raw), "_texts": js.texts(raw, _TEXTS)}).withColumns(
         {
-            "_valid": js.is_single_json(doc, raw) & ~is_blank(raw),
+            "_valid": js.is_single_json(doc, raw),
             "_fields": js.fields(doc, _FIELDS),
         }
     )
     kept = [*lines.columns, "_doc", "_valid"]
-    values = parsed.select(*kept, *(value.alias(name) for name, value in _values().items()))
+    values = parsed.select(*kept, *(part.alias(name) for name, part in _parts().items()))
     columns = _strict_columns() if profile == "strict" else _staged_columns()
     events = values.select(*kept, *(column.alias(name) for name, column in columns.items()))
     return events.withColumns({name: iso_timestamp(F.col(f"_{name}_text")) for name in _TIMES})

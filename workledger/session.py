@@ -11,13 +11,15 @@ _local_folder: str | None = None
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Set the two runtime settings that results depend on.
+    """Set the runtime settings that results depend on.
 
-    Instants are truncated to weeks and printed in UTC, and a JSON object with
-    a repeated key keeps the last value instead of failing to parse.
+    Instants are truncated to weeks and printed in UTC. A JSON object with a
+    repeated key keeps the last value instead of failing to parse, and a field
+    of an unexpected type does not hide the other fields.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    spark.conf.set("spark.sql.json.enablePartialResults", "true")
     return spark
 
 

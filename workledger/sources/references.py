@@ -24,9 +24,9 @@ class Reference:
 
 def scan_reference(spark: SparkSession, source_dir: str, file_name: str, key: str) -> DataFrame:
     """CSV rows as strings with their row number; the header is row 1."""
-    rows = spark.read.option("header", True).option("quote", '"').option("escape", '"').csv(
-        f"{source_dir.rstrip('/')}/{file_name}"
-    )
+    # An empty field is an empty text; NULL is left to rows that are too short.
+    options = {"header": True, "quote": '"', "escape": '"', "nullValue": "\0"}
+    rows = spark.read.options(**options).csv(f"{source_dir.rstrip('/')}/{file_name}")
     if key not in rows.columns:
         raise ValueError(f"{file_name} is missing required column {key}")
     placed = with_running_id(with_place(rows, file_name))
