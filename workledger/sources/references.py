@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -63,11 +63,16 @@ def split_reference(rows: DataFrame, schema: T.StructType) -> Reference:
     return Reference(rows, clean, rejects)
 
 
+def _read(spark: SparkSession, source_dir: str, file_name: str, schema: T.StructType) -> Reference:
+    key = schema.fieldNames()[0]
+    reference = split_reference(scan_reference(spark, source_dir, file_name, key), schema)
+    # Read several times by a load: counted, joined, merged.
+    return replace(reference, clean=materialize(reference.clean, "reference"))
+
+
 def read_stores(spark: SparkSession, source_dir: str) -> Reference:
-    rows = scan_reference(spark, source_dir, schemas.STORE_FILE, "store_id")
-    return split_reference(rows, schemas.STORES)
+    return _read(spark, source_dir, schemas.STORE_FILE, schemas.STORES)
 
 
 def read_technicians(spark: SparkSession, source_dir: str) -> Reference:
-    rows = scan_reference(spark, source_dir, schemas.TECHNICIAN_FILE, "technician_id")
-    return split_reference(rows, schemas.TECHNICIANS)
+    return _read(spark, source_dir, schemas.TECHNICIAN_FILE, schemas.TECHNICIANS)
