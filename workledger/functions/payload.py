@@ -1,9 +1,9 @@
 """Strict JSON parsing and typed field access on variant values.
 
-Spark's parser stops after the first JSON value and ignores what follows it. To
-notice trailing text the line is parsed as the first element of an array whose
-second element is the line's own digest: only a line that is exactly one JSON
-value leaves the digest in second and last place.
+Spark's parsers stop after the first JSON value and ignore what follows it. To
+notice trailing text the line is also read as the first element of an array
+whose second element is the line's own digest: only a line that is exactly one
+JSON value leaves the digest in second place.
 """
 
 from __future__ import annotations
@@ -16,15 +16,19 @@ from pyspark.sql import Column, functions as F
 _EMPTY_JSON = ("null", "false", "0", "0.0", "-0.0", '""', "[]", "{}")
 
 
-def enclosed(raw: Column) -> Column:
-    """The variant array ``[<raw>, <digest of raw>]``, or NULL if not JSON."""
-    return F.try_parse_json(F.concat(F.lit("["), raw, F.lit(',"'), F.md5(raw), F.lit('"]')))
+# Only what the JSON standard allows.
+_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+
+
+def document(raw: Column) -> Column:
+    """The first JSON value of a line as a variant, or NULL if there is none."""
+    return F.from_json(raw, "variant", _STRICT)
 
 
 def is_single_json(doc: Column, raw: Column) -> Column:
-    digest_in_place = F.try_variant_get(doc, "$[1]", "string") == F.md5(raw)
-    nothing_after = F.try_variant_get(doc, "$[2]", "variant").isNull()
-    return F.coalesce(digest_in_place & nothing_after, F.lit(False))
+    digest = F.md5(raw)
+    second = F.get_json_object(F.concat(F.lit("["), raw, F.lit(',"'), digest, F.lit('"]')), "$[1]")
+    return F.coalesce(doc.isNotNull() & (second == digest), F.lit(False))
 
 
 def is_object_text(raw: Column) -> Column:
@@ -34,7 +38,7 @@ def is_object_text(raw: Column) -> Column:
 
 def fields(doc: Column, names: Sequence[str]) -> Column:
     """The named top-level fields as one struct of variants, in one pass."""
-    return F.try_variant_get(doc, "$[0]", "struct<" + ", ".join(f"`{name}`: variant" for name in names) + ">")
+    return F.try_variant_get(doc, "$", "struct<" + ", ".join(f"`{name}`: variant" for name in names) + ">")
 
 
 def member(value: Column, name: str) -> Column:
@@ -53,7 +57,7 @@ def texts(raw: Column, schema: str) -> Column:
     Reads all fields in one pass, which is far cheaper than casting variants to
     strings one by one. Says nothing about types or about text after the value.
     """
-    return F.from_json(raw, schema)
+    return F.from_json(raw, schema, _STRICT)
 
 
 def if_string(value: Column, text: Column) -> Column:
@@ -78,7 +82,7 @@ def is_object_or_empty(value: Column) -> Column:
 
 def canonical_text(doc: Column) -> Column:
     """Compact JSON with sorted keys."""
-    return F.to_json(F.try_variant_get(doc, "$[0]", "variant"))
+    return F.to_json(doc)
 
 
 def payload_hash(doc: Column) -> Column:
