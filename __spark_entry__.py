@@ -86,8 +86,9 @@ def _normalized_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _payload_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = normalize(inputs.event_lines(spark, sf_dir)).filter("_valid")
-    return parsed.select("source_file", "source_row_number", js.payload_hash(F.col("_doc")).alias("payload_hash"))
+    parsed = normalize(inputs.event_lines(spark, sf_dir))
+    hashed = F.when(F.col("_valid"), js.payload_hash(F.col("_doc")))
+    return parsed.select("source_file", "source_row_number", hashed.alias("payload_hash"))
 
 
 def _classified(spark: SparkSession, sf_dir: str, profile: str = "strict") -> DataFrame:

@@ -32,7 +32,8 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of event files, spread over the cores if the table is one small file."""
     lines = derive(spark, sf_dir, sql.EVENT_LINES).drop("f")
     cores = spark.sparkContext.defaultParallelism
-    if lines.rdd.getNumPartitions() < cores:
+    splits = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id").rdd.getNumPartitions()
+    if splits < cores:
         lines = lines.repartition(cores, "source_row_number")
     return lines
 

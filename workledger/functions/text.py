@@ -42,25 +42,21 @@ def iso_timestamp(text: Column) -> Column:
 
 
 def _spelled_out(text: Column) -> Column:
-    """Rewrite any accepted ISO form as ``yyyy-MM-ddTHH:mm:ss.ffffff+HH:mm``."""
+    """Rewrite any accepted ISO form as ``yyyy-MM-ddTHH:mm:ss.ffffff+HH:mm:ss``."""
 
     def part(index: int) -> Column:
         return F.regexp_extract(text, _ISO, index)
 
-    def part_or(index: int, default: str) -> Column:
-        return F.coalesce(F.nullif(part(index), F.lit("")), F.lit(default))
+    # Missing parts are empty: padding with zeros fills in their default. Padding
+    # also cuts a longer fraction to microseconds.
+    def two_digits(index: int) -> Column:
+        return F.rpad(part(index), 2, "0")
 
-    fraction = F.substring(part_or(9, "0"), 1, 6)
-    offset = F.regexp_replace(part_or(10, "+00"), ":", "")
-    offset = F.concat(
-        F.substring(offset, 1, 3),
-        F.lit(":"),
-        F.rpad(F.substring(offset, 4, 2), 2, "0"),
-        F.when(F.length(offset) > 5, F.concat(F.lit(":"), F.substring(offset, 6, 2))).otherwise(""),
-    )
+    sign_and_digits = F.greatest(F.replace(part(10), F.lit(":"), F.lit("")), F.lit("+"))
+    offset = F.regexp_replace(F.rpad(sign_and_digits, 7, "0"), "^(...)(..)(..)$", "$1:$2:$3")
     full = F.concat(
         *(part(1), F.lit("-"), part(3), F.lit("-"), part(4), F.lit("T")),
-        *(part_or(5, "00"), F.lit(":"), part_or(7, "00"), F.lit(":"), part_or(8, "00")),
-        *(F.lit("."), fraction, offset),
+        *(two_digits(5), F.lit(":"), two_digits(7), F.lit(":"), two_digits(8)),
+        *(F.lit("."), F.rpad(part(9), 6, "0"), offset),
     )
     return F.when(text.rlike(_ISO), full)
