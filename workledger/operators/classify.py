@@ -201,11 +201,9 @@ def normalize(lines: DataFrame, profile: str = "strict") -> DataFrame:
     if profile not in PROFILES:
         raise ValueError(f"unknown profile {profile!r}, expected one of {PROFILES}")
     raw, doc = F.col("raw"), F.col("_doc")
-    parsed = lines.withColumns({"_doc": js.document(raw), "_texts": F.when(js.is_object_text(raw), js.texts(raw, _TEXTS))}).withColumns(
-        {
-            "_valid": js.is_single_json(doc, raw),
-            "_fields": js.fields(doc, _FIELDS),
-        }
+    texts = F.when(js.is_object_text(raw), js.texts(raw, _TEXTS))
+    parsed = lines.withColumns({"_doc": js.document(raw), "_texts": texts}).withColumns(
+        {"_valid": js.is_single_json(doc, raw), "_fields": js.fields(doc, _FIELDS)}
     )
     kept = [*lines.columns, "_doc", "_valid"]
     values = parsed.select(*kept, *(part.alias(name) for name, part in _parts().items()))
