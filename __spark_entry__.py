@@ -37,6 +37,16 @@ from workledger.streaming.ingest import ingest_stream  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+try:
+    import corpus_pipeline
+    from workledger.llm import queries as llm
+except ImportError:  # the text operators are not there
+    TEXT_QUERIES: dict[str, Query] = {}
+    TEXT_ORACLES: dict[str, str] = {}
+else:
+    TEXT_QUERIES = llm.QUERIES | {"pipeline": corpus_pipeline.run}
+    TEXT_ORACLES = llm.ORACLES | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 FIRST_LOAD = datetime(2024, 6, 1, tzinfo=timezone.utc)
 SECOND_LOAD = datetime(2024, 6, 2, tzinfo=timezone.utc)
@@ -313,8 +323,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {name: _registered(query) for name, query in _QUERIES.items()}
+    return {name: _registered(query) for name, query in (_QUERIES | TEXT_QUERIES).items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return ORACLES | TEXT_ORACLES
