@@ -127,16 +127,16 @@ ORACLES = {
     "op2_benchmark_decontamination": rf"""
 WITH item_words AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS words FROM benchmark),
 item_windows AS (
-  SELECT DISTINCT item, size, array_to_string(list_slice(words, at, at + size - 1), ' ') AS passage
-  FROM (SELECT item, words, least(13, len(words)) AS size, unnest(range(1, len(words) - least(13, len(words)) + 2)) AS at
+  SELECT DISTINCT item, size, array_to_string(list_slice(words, pos, pos + size - 1), ' ') AS passage
+  FROM (SELECT item, words, least(13, len(words)) AS size, unnest(range(1, len(words) - least(13, len(words)) + 2)) AS pos
         FROM item_words WHERE len(words) > 0)),
 doc_words AS (SELECT doc_id, {_WORDS} AS words FROM documents),
 sizes AS (SELECT DISTINCT size FROM item_windows),
 doc_windows AS (
-  SELECT doc_id, size, at, array_to_string(list_slice(words, at, at + size - 1), ' ') AS passage
-  FROM (SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS at FROM doc_words, sizes WHERE len(words) >= size)),
-found AS (SELECT doc_id, at, size, item FROM doc_windows JOIN item_windows USING (size, passage)),
-hit AS (SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest(range(at, at + size)) AS place FROM found) GROUP BY doc_id),
+  SELECT doc_id, size, pos, array_to_string(list_slice(words, pos, pos + size - 1), ' ') AS passage
+  FROM (SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS pos FROM doc_words, sizes WHERE len(words) >= size)),
+found AS (SELECT doc_id, pos, size, item FROM doc_windows JOIN item_windows USING (size, passage)),
+hit AS (SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest(range(pos, pos + size)) AS place FROM found) GROUP BY doc_id),
 items AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS BIGINT) AS n_hit,
   CAST(coalesce(items.n, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
@@ -147,7 +147,7 @@ FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
 digests AS (SELECT page_id, payload, sha1(payload) AS hexed, max(page_id) OVER (PARTITION BY payload) AS largest FROM payloads)
 SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
-  array_to_string(list_transform(range(32), k -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
     CAST(1 + ((CAST('0x' || substr(hexed, CAST(5 * (k // 4) + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (k % 4) AS BIGINT)) & 31) AS BIGINT), 1)), '') AS payload_digest,
   CASE WHEN page_id = largest THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id = largest THEN NULL ELSE largest END AS refers_to
