@@ -34,8 +34,9 @@ _PRETOKEN = regex.compile(
     PRETOKEN.replace(r"[^\s", f"[^{SPACE}").replace(r"\s", f"[{SPACE}]").replace(r"\S", f"[^{SPACE}]")
 )
 
-PIECE_CHARS = 1 << 20
-REMEMBERED = 500_000
+PIECE_CHARS = 1 << 19
+REMEMBERED = 200_000
+PAIRS = 100_000
 LONG_WORD = 128
 AT_ONCE = 1 << 14
 NEVER = np.int64(1) << 40
@@ -206,7 +207,7 @@ class Encoder:
         listed = keys.tolist()
         new = np.array([k for k in listed if k not in self.pairs], np.int64)
         if len(new):
-            if len(self.pairs) + len(new) > 2 * REMEMBERED:
+            if len(self.pairs) + len(new) > PAIRS:
                 self.pairs.clear()
                 new = keys
             good = self.first_crossing(new // self.size, new % self.size) == NEVER

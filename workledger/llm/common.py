@@ -11,6 +11,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 HELD_OUT = 1
+BATCH_BYTES = 8 << 20
 
 
 class Lookup:
@@ -86,9 +87,11 @@ def append_columns(
 ) -> DataFrame:
     """Add the columns ``outputs``, computed from ``inputs`` batch by batch.
 
-    ``prepare`` runs once per task and returns a function from Arrow arrays to
+    Batches are cut at BATCH_BYTES, so long texts do not add up in a worker (a
+    text longer than that is a batch of its own). ``prepare`` runs once per task and returns a function from Arrow arrays to
     as many lists or Arrow arrays. Input columns named like an output are replaced.
     """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     passed = without(df, outputs.fieldNames()).columns
     schema = T.StructType([*df.select(*[F.col(f"`{c}`") for c in passed]).schema.fields, *outputs.fields])
     # Inputs travel under names of their own, also when an output replaces them.
