@@ -64,7 +64,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, and the digest of what they decode to."""
     vocabulary = bpe.Vocabulary(TOKENIZER)
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "text"), vocabulary).drop("text"), vocabulary)
+    coded = bpe.encode_and_decode(docs.select("doc_id", "text"), vocabulary)
     decoded = F.sha2("decoded", 256).alias("decoded_sha256")
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", decoded)
 

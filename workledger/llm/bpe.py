@@ -34,9 +34,9 @@ _PRETOKEN = regex.compile(
     PRETOKEN.replace(r"[^\s", f"[^{SPACE}").replace(r"\s", f"[{SPACE}]").replace(r"\S", f"[^{SPACE}]")
 )
 
-PIECE_CHARS = 1 << 19
-REMEMBERED = 200_000
-PAIRS = 100_000
+PIECE_CHARS = 1 << 18
+REMEMBERED = 120_000
+PAIRS = 60_000
 LONG_WORD = 128
 AT_ONCE = 1 << 14
 NEVER = np.int64(1) << 40
@@ -124,10 +124,10 @@ class Encoder:
         table = np.stack(chain[:-1], 1)
         length = (table >= 0).sum(1)
         at = length[:, None] - 1 - np.arange(table.shape[1])
-        return np.where(at >= 0, np.take_along_axis(table, np.maximum(at, 0), 1), -1), length
+        return np.where(at >= 0, np.take_along_axis(table, np.maximum(at, 0), 1), -1).astype(np.int32), length
 
     def _merge_rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        at = self.pair_at(a * self.size + b)
+        at = self.pair_at(a.astype(np.int64) * self.size + b)
         return np.where(at >= 0, self.vocabulary.rank[self.made[at]], NEVER)
 
     def first_crossing(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -375,47 +375,68 @@ def _encoder(vocabulary: Vocabulary) -> Encoder:
     return _encoders[key]
 
 
+def _encoded(encoder: Encoder, texts: list[str | None]) -> pa.ListArray:
+    gc.disable()  # many words are listed, none of them in cycles
+    try:
+        ids = encoder.encode([t or "" for t in texts])
+    finally:
+        gc.enable()
+    offsets = np.cumsum([0, *[len(x) // 4 for x in ids]]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+
+
+class Decoder:
+    def __init__(self, vocabulary: Vocabulary):
+        self.joined = np.frombuffer(b"".join(vocabulary.tokens), np.uint8)
+        self.length = np.array([len(t) for t in vocabulary.tokens])
+        self.start = np.cumsum(self.length) - self.length
+
+    def text(self, ids: pa.ListScalar) -> str:
+        if not ids.is_valid:
+            return ""
+        tokens, parts = ids.values.to_numpy(zero_copy_only=False), []
+        for at in range(0, len(tokens), PIECE_CHARS):
+            some = tokens[at : at + PIECE_CHARS]
+            n = self.length[some]
+            place = np.repeat(self.start[some] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            parts.append(self.joined[place].tobytes())
+        return b"".join(parts).decode("utf-8", "replace")
+
+
+_IDS = T.StructField("ids", T.ArrayType(T.IntegerType(), True))
+_DECODED = T.StructField("decoded", T.StringType())
+
+
 def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataFrame:
     """Add ``ids``, the token ids of each whole text."""
 
     def prepare():
         encoder = _encoder(vocabulary)
+        return lambda texts: [_encoded(encoder, texts.to_pylist())]
 
-        def compute(texts):
-            gc.disable()  # millions of words are listed, none of them in cycles
-            try:
-                ids = encoder.encode([t or "" for t in texts.to_pylist()])
-            finally:
-                gc.enable()
-            offsets = np.cumsum([0, *[len(x) // 4 for x in ids]]).astype(np.int32)
-            return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), "<i4")))]
-
-        return compute
-
-    out = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType(), True))])
-    return append_columns(docs, [text], out, prepare)
+    return append_columns(docs, [text], T.StructType([_IDS]), prepare)
 
 
 def decode(docs: DataFrame, vocabulary: Vocabulary, ids: str = "ids") -> DataFrame:
     """Add ``decoded``, the text of the token ids; bytes that are no UTF-8 become U+FFFD."""
 
     def prepare():
-        joined = np.frombuffer(b"".join(vocabulary.tokens), np.uint8)
-        length = np.array([len(t) for t in vocabulary.tokens])
-        start = np.cumsum(length) - length
+        decoder = Decoder(vocabulary)
+        return lambda lists: [[decoder.text(x) for x in lists]]
+
+    return append_columns(docs, [ids], T.StructType([_DECODED]), prepare)
 
-        def text_of(tokens: np.ndarray) -> str:
-            parts = []
-            for at in range(0, len(tokens), PIECE_CHARS):
-                n = length[tokens[at : at + PIECE_CHARS]]
-                first = np.repeat(start[tokens[at : at + PIECE_CHARS]] - (np.cumsum(n) - n), n)
-                parts.append(joined[first + np.arange(n.sum())].tobytes())
-            return b"".join(parts).decode("utf-8", "replace")
 
-        def compute(lists):
-            return [[text_of(x.values.to_numpy(zero_copy_only=False)) if x.is_valid else "" for x in lists]]
+def encode_and_decode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataFrame:
+    """Add ``ids`` and, from these, ``decoded``, in one worker."""
+
+    def prepare():
+        encoder, decoder = _encoder(vocabulary), Decoder(vocabulary)
+
+        def compute(texts):
+            ids = _encoded(encoder, texts.to_pylist())
+            return [ids, [decoder.text(x) for x in ids]]
 
         return compute
 
-    out = T.StructType([T.StructField("decoded", T.StringType())])
-    return append_columns(docs, [ids], out, prepare)
+    return append_columns(docs, [text], T.StructType([_IDS, _DECODED]), prepare)

@@ -11,7 +11,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 HELD_OUT = 1
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 class Lookup:
@@ -110,6 +110,7 @@ def append_columns(
             made = [x if isinstance(x, pa.Array) else pa.array(x, kind) for x, kind in zip(made, kinds, strict=True)]
             kept = [batch.column(i) for i in range(len(passed))]
             yield pa.RecordBatch.from_arrays([*kept, *made], names=[*passed, *outputs.fieldNames()])
+        pa.default_memory_pool().release_unused()  # the worker lives on
 
     return sent.mapInArrow(portable(run), schema)
 

@@ -54,7 +54,7 @@ def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.Vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
-    coded = bpe.decode(bpe.encode(_texts(spark, sf_dir), vocabulary).drop("text"), vocabulary)
+    coded = bpe.encode_and_decode(_texts(spark, sf_dir), vocabulary)
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -285,7 +285,7 @@ class Scanner:
         return [(self.rules[r].kind, char[a], char[b]) for r, a, b in sorted(spans, key=lambda s: (s[1], s[0], s[2]))]
 
 
-TEXTS_BYTES = 8 << 20
+TEXTS_BYTES = 2 << 20
 
 
 def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:

@@ -31,8 +31,8 @@ BEGIN = "▁"  # the mark of a word's begin in the public vocabulary
 UNKNOWN_PENALTY = 10.0
 LONG_WORD = 256
 AT_ONCE = 1 << 14
-REMEMBERED = 200_000
-TEXT_CHARS = 1 << 19
+REMEMBERED = 120_000
+TEXT_CHARS = 1 << 18
 _SPACE = re.compile(r"[\x20\x09-\x0D]")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 OUTPUT = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("n_tokens", T.LongType())])
