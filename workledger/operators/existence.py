@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 # Reference ids that may be broadcast; a short string each, so well below 100 MB.
 MAX_BROADCAST_IDS = 1_000_000
-SALTS = 256
+
+_NOT_HASHED = ("map", "variant", "array", "struct")
 
 
 def flag_known(
@@ -19,30 +20,29 @@ def flag_known(
     """Add a boolean ``flag``: the value of ``column`` is one of ``ids[column]``.
 
     Repeated reference ids do not multiply rows. A counted, small id list is
-    broadcast, so the rows stay where they are. A longer list is joined on the
-    id and a salt taken from the row's position: the rows of one id spread over
-    ``SALTS`` groups, and every id is present under each salt. Rows without an
-    id match nothing and spread over all tasks.
+    broadcast, so the rows stay where they are. A longer list is joined on the id
+    and its hash; both sides have an exchange of their own, so the engine splits
+    exactly the ids that it finds to be heavy. Rows without an id match nothing
+    and are spread by a hash of their other columns.
     """
     known = ids.select(F.col(column).alias("_id")).filter("_id is not null").distinct()
     known = known.withColumn("_known", F.lit(True))
     if known.limit(max_broadcast + 1).count() <= max_broadcast:
         joined = df.join(F.broadcast(known), F.col(column) == F.col("_id"), "left")
     else:
-        salted = known.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        position = [c for c in ("source_file", "source_row_number", "running_id") if c in df.columns]
-        spread = F.hash(*position)
-        row_salt = F.when(F.col(column).isNull(), spread).otherwise(F.pmod(spread, F.lit(SALTS)))
-        joined = df.withColumn("_row_salt", row_salt).join(
-            salted, (F.col(column) == F.col("_id")) & (F.col("_row_salt") == F.col("_salt")), "left"
+        others = [F.col(f"`{name}`") for name, kind in df.dtypes if not kind.startswith(_NOT_HASHED)]
+        spread = F.when(F.col(column).isNull(), F.xxhash64(F.lit(0), *others)).otherwise(F.xxhash64(column))
+        joined = df.withColumn("_spread", spread).join(
+            known.withColumn("_hash", F.xxhash64("_id")),
+            (F.col(column) == F.col("_id")) & (F.col("_spread") == F.col("_hash")),
+            "left",
         )
-    return joined.withColumn(flag, F.coalesce("_known", F.lit(False))).drop(
-        "_id", "_known", "_salt", "_row_salt"
-    )
+    return joined.withColumn(flag, F.coalesce("_known", F.lit(False))).drop("_id", "_known", "_spread", "_hash")
 
 
-def unknown_references(events: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+def unknown_references(
+    events: DataFrame, ids: DataFrame, column: str, max_broadcast: int = MAX_BROADCAST_IDS
+) -> DataFrame:
     """Events naming a ``column`` value that the reference table lacks."""
-    return flag_known(events.filter(F.col(column).isNotNull()), ids, column, "_is_known").filter(
-        "not _is_known"
-    ).drop("_is_known")
+    named = events.filter(F.col(column).isNotNull())
+    return flag_known(named, ids, column, "_is_known", max_broadcast).filter("not _is_known").drop("_is_known")

@@ -11,15 +11,10 @@ from workledger.session import materialize
 # A key with more rows than this is cut into chunks of about this many rows.
 CHUNK_ROWS = 5_000_000
 
-# At most this many keys are cut. They are the largest ones, so any other key
-# holds less than a ten-thousandth of all rows and fits a normal window task.
-MAX_CUT_KEYS = 10_000
 
-
-def heavy_keys(df: DataFrame, key: str, rows: int) -> list[tuple]:
-    """The largest keys above ``rows`` rows with their sizes, at most ``MAX_CUT_KEYS``."""
-    sizes = df.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > rows)
-    return [tuple(row) for row in sizes.orderBy(F.desc("n")).limit(MAX_CUT_KEYS).collect()]
+def heavy_keys(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """The keys above ``rows`` rows with their sizes ``n``."""
+    return df.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > rows)
 
 
 def with_previous(
@@ -33,18 +28,16 @@ def with_previous(
     """Add ``alias``: ``column`` of the preceding row of the same ``key``.
 
     A window puts all rows of a key into one task. That is right for ordinary
-    keys; the few keys too large for it take :func:`_previous_by_chunks`.
+    keys; those too large for it take :func:`_previous_by_chunks`.
     """
-    heavy = heavy_keys(df, key, chunk_rows)
+    heavy = materialize(heavy_keys(df, key, chunk_rows), "heavy")
+    cut = heavy.agg(F.sum("n")).first()[0]
     lagged = F.lag(column).over(Window.partitionBy(key).orderBy(*order))
-    if not heavy:
+    if not cut:
         return df.withColumn(alias, lagged)
-    keys = df.sparkSession.createDataFrame(heavy, df.select(key, F.lit(0).cast("bigint").alias("n")).schema)
-    keys = F.broadcast(keys.select(key))
-    chunks = 1 + sum(size for _, size in heavy) // chunk_rows
-    large = df.join(keys, key, "left_semi")
-    small = df.join(keys, key, "left_anti").withColumn(alias, lagged)
-    return small.unionByName(_previous_by_chunks(large, key, order, column, alias, chunks))
+    large = df.join(heavy, key, "left_semi")
+    small = df.join(heavy, key, "left_anti").withColumn(alias, lagged)
+    return small.unionByName(_previous_by_chunks(large, key, order, column, alias, 1 + cut // chunk_rows))
 
 
 def _previous_by_chunks(
@@ -55,7 +48,7 @@ def _previous_by_chunks(
     Within a range the window sees only that range. The first row of a key in a
     range takes the last value the key has in an earlier range. Those last
     values are one row per key and range that holds it, so no more than the
-    number of ranges plus that of keys, and may be broadcast. The ranges come
+    number of ranges plus that of keys. The ranges come
     from sampling and must not change between the two readings, hence the
     written table.
     """
@@ -71,7 +64,7 @@ def _previous_by_chunks(
     return (
         ranges.withColumn("_at", F.row_number().over(inside))
         .withColumn("_within", F.lag(column).over(inside))
-        .join(F.broadcast(carried), [key, "_chunk"])
+        .join(carried, [key, "_chunk"])
         .withColumn(alias, F.when(F.col("_at") == 1, F.col("_carried")).otherwise(F.col("_within")))
         .drop("_at", "_within", "_carried", "_chunk")
     )
