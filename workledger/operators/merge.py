@@ -40,10 +40,22 @@ def without(target: DataFrame, keys: DataFrame, key: str) -> DataFrame:
 
 
 def merge_latest(target: DataFrame, source: DataFrame, seen_at: Column) -> DataFrame:
-    """``target`` after merging ``source``: stored rows not replaced, plus the changes."""
-    changes = planned_changes(target, source, seen_at)
-    kept = without(target, changes.filter("replaced_in is not null"), "event_id")
-    return kept.unionByName(changes.select(*target.columns))
+    """``target`` after merging ``source``, by one full join: each event's row is taken from one side."""
+    stored = target.select(F.col("event_id").alias("_key"), F.struct("*").alias("_stored"))
+    given = source.select(F.col("event_id").alias("_key"), F.struct("*").alias("_given"))
+    old, new = F.col("_stored"), F.col("_given")
+    newer = new["updated_at_utc"] > old["updated_at_utc"]
+    corrected = (new["updated_at_utc"] == old["updated_at_utc"]) & (new["payload_hash"] != old["payload_hash"])
+    take = F.col("_given").isNotNull() & (F.col("_stored").isNull() | F.coalesce(newer | corrected, F.lit(False)))
+    merged = {
+        name: F.when(F.col("_take"), new[name]).otherwise(old[name])
+        for name in target.columns
+        if name not in ("first_seen_at", "last_seen_at")
+    }
+    merged["first_seen_at"] = F.coalesce(old["first_seen_at"], seen_at)
+    merged["last_seen_at"] = F.when(F.col("_take"), seen_at).otherwise(old["last_seen_at"])
+    joined = stored.join(given, "_key", "full").withColumn("_take", take)
+    return joined.select(*[merged[name].alias(name) for name in target.columns])
 
 
 def upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
