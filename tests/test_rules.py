@@ -141,7 +141,7 @@ def test_reasons(spark, profile, cases):
         assert (row.payload_hash is None) == (row.reject_reason is not None)
 
 
-def test_normalizes_timestamp_and_nested_fields(spark):
+def test_fields_are_trimmed_cased_and_read_from_objects(spark):
     row = judge(spark, [event(event_id=" E1 ", source=" app ", priority="p2")])[0]
     assert (row.event_type, row.technician_id, row.store_id, row.region) == ("OPENED", "T1", "S1", "R1")
     assert row.event_timestamp_utc == datetime(2026, 1, 1)
@@ -153,6 +153,13 @@ def test_staged_rounds_labor(spark):
     assert [row.labor_minutes for row in judge(spark, raws, "staged")] == [2, 10, 2]
 
 
+def test_hash_tells_whole_floats_from_integers(spark):
+    hashes = [r.payload_hash for r in judge(spark, [event(cost=json.loads(x)) for x in ("10", "10.0", "1.5")])]
+    assert len(set(hashes)) == 3
+    spelled = [event(cost=1.5), event(cost=1.5).replace("1.5", "1.50")]
+    assert len({r.payload_hash for r in judge(spark, spelled)}) == 1
+
+
 def test_hash_ignores_formatting_and_keeps_last_repeated_key(spark):
     record = json.loads(event())
     spaced = json.dumps(record, indent=None, separators=(" , ", " : "))
@@ -164,7 +171,7 @@ def test_hash_ignores_formatting_and_keeps_last_repeated_key(spark):
     assert [row.event_id for row in rows] == ["E1"] * 3
 
 
-def test_keeps_latest_correction_and_rejects_bad_record(spark):
+def test_one_version_stays_per_event_and_broken_lines_go(spark):
     first = event(event_type="OPENED", updated_at="2026-01-01T00:00:00Z")
     later = event(event_type="CLOSED", updated_at="2026-01-02T00:00:00Z")
     lines = [first, later, "not-json", later, first]

@@ -86,4 +86,10 @@ def canonical_text(doc: Column) -> Column:
 
 
 def payload_hash(doc: Column) -> Column:
-    return F.sha2(canonical_text(doc), 256)
+    """SHA-256 of the canonical text; where that text hides that a whole number was a float, of the types too.
+
+    So ``10.0`` and ``10`` differ, while ``1.50`` and ``1.5`` are alike. Arrays of
+    mixed types have no element type and keep the plain text.
+    """
+    types, text = F.schema_of_variant(doc), canonical_text(doc)
+    return F.sha2(F.when(types.rlike(r"DECIMAL\(\d+,0\)"), F.concat_ws("\n", text, types)).otherwise(text), 256)
