@@ -6,8 +6,8 @@ tables as before a load or all as after it; files of a failed load are in no
 list, and files are never changed.
 
 A merge writes the changed events as new files and writes again, without the
-replaced rows, only those files in which it replaces a row. Its cost follows
-the batch and the files it corrects, not the whole table.
+replaced rows, only those files in which it replaces a row. It reads the key
+columns of the whole table, and corrections spread over many files rewrite many.
 """
 
 from __future__ import annotations

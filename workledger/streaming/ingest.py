@@ -2,7 +2,8 @@
 
 Corrections may arrive at any age, so no watermark drops them: each micro-batch
 is merged into the event table by key. A repeated micro-batch has the run id and
-the content of the first attempt and therefore adds nothing.
+the content of the first attempt and adds nothing, unless the reference files
+have changed since.
 """
 
 from __future__ import annotations
