@@ -2,12 +2,15 @@
 
 import json
 from datetime import datetime, timezone
+from itertools import product
 
 import pytest
 
+from workledger import schemas
+from workledger.operators.merge import settle
 from workledger.plans.checks import constraint_violations
 from workledger.plans.load import dry_run, load_batch, replay_rejects
-from workledger.plans.warehouse import EVENTS, Warehouse
+from workledger.plans.warehouse import EVENTS, Folder, Warehouse
 from workledger.streaming.ingest import ingest_stream
 
 DAY = [datetime(2026, 2, day, tzinfo=timezone.utc) for day in range(1, 6)]
@@ -62,6 +65,8 @@ def test_load_replay_and_correct(spark, tmp_path):
     again = batch(tmp_path / "copy", *(tmp_path / "one" / "work_order_events_01.jsonl").read_text().splitlines())
     before = warehouse.state().of(EVENTS)
     assert load_batch(spark, again, root, run_id="r2", now=DAY[1]) == "r1"
+    with pytest.raises(ValueError, match="r1 is recorded with other content"):
+        load_batch(spark, batch(tmp_path / "other", line("E9", 1)), root, run_id="r1", now=DAY[1])
     assert warehouse.state().of(EVENTS) == before
     assert warehouse.table("ingestion_runs").count() == 1
 
@@ -75,11 +80,15 @@ def test_load_replay_and_correct(spark, tmp_path):
     }
     assert {row.store_id for row in warehouse.table("stores").collect()} == {"S1", "S2"}
 
-    # A batch without corrections leaves the files of all others alone.
+    # A small batch leaves the folders of larger ones alone, corrections or not.
     before = warehouse.state().of(EVENTS)
-    third = batch(tmp_path / "three", line("E6", 1))
+    third = batch(tmp_path / "three", line("E6", 1), line("E1", 4, "CLOSED"))
     load_batch(spark, third, root, run_id="r4", now=DAY[3])
-    assert before < warehouse.state().of(EVENTS)
+    assert len(before) == 1 and warehouse.state().of(EVENTS)[:1] == before
+    assert events(warehouse)["E1"] == ("CLOSED", 1, 4, "CLOSED")
+    assert {tuple(row) for row in warehouse.run_status().collect()} == {
+        ("r1", "SUCCEEDED"), ("r2", "STARTED"), ("r3", "SUCCEEDED"), ("r4", "SUCCEEDED"),
+    }
 
     # The store that was missing is known by now.
     judged = replay_rejects(
@@ -119,12 +128,89 @@ def test_failed_load_changes_nothing(spark, tmp_path, monkeypatch):
         with pytest.raises(RuntimeError, match="lost"):
             load_batch(spark, second, root, run_id="r2", now=DAY[1])
     assert events(warehouse) == before and warehouse.state() == state
+    assert ("r2", "FAILED") in {tuple(row) for row in warehouse.run_status().collect()}
     assert {row.store_id for row in warehouse.table("stores").collect()} == {"S1"}
     load_batch(spark, second, root, run_id="r2", now=DAY[1])
     assert events(warehouse) == {"E1": ("CLOSED", 1, 2, "CLOSED")}
     assert warehouse.table("rejected_records").filter("run_id = 'r2'").count() == 2
 
 
+def test_crash_while_publishing_blocks_nothing(spark, tmp_path):
+    root = str(tmp_path / "warehouse")
+    load_batch(spark, batch(tmp_path / "one", line("E1", 1)), root, run_id="r1", now=DAY[0])
+    (tmp_path / "warehouse" / "published" / ".unfinished").write_text("{")
+    load_batch(spark, batch(tmp_path / "two", line("E2", 1)), root, run_id="r2", now=DAY[1])
+    assert set(events(Warehouse(spark, root))) == {"E1", "E2"}
+
+
+def test_second_writer_is_refused(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
+    seen_by_both = warehouse.state()
+    first = warehouse.publish(seen_by_both)
+    with pytest.raises(RuntimeError, match="another load published"):
+        warehouse.publish(seen_by_both.put("stores", Folder("lost", 1)))
+    assert warehouse.state() == first
+
+
+def test_violated_constraint_fails_the_load(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "warehouse")
+    monkeypatch.setitem(schemas.NOT_NULL, EVENTS, ("event_id", "technician_id"))
+    with pytest.raises(ValueError, match="work_order_events.technician_id not null: 1"):
+        load_batch(spark, batch(tmp_path / "one", line("E1", 1)), root, now=DAY[0])
+    assert Warehouse(spark, root).state().of(EVENTS) == ()
+
+
+def test_settled_versions_are_those_of_merging_in_turn(spark):
+    """Every history of four loads over two times and two payloads, against a loop."""
+    versions, expected = [], set()
+    for n, history in enumerate(product([None, (1, "a"), (1, "b"), (2, "a"), (2, "b")], repeat=4)):
+        kept = None
+        for load, version in enumerate(history):
+            if version is None:
+                continue
+            versions.append((f"E{n}", DAY[version[0]], version[1], DAY[load], DAY[load], load))
+            if kept is None:
+                kept = (*version, load, load)
+            elif version[0] > kept[0] or version[0] == kept[0] and version[1] != kept[1]:
+                kept = (*version, kept[2], load)
+        if kept:
+            expected.add((f"E{n}", *kept))
+    columns = "event_id string, updated_at_utc timestamp, payload_hash string, first_seen_at timestamp, last_seen_at timestamp, load_sequence int"
+    found = settle(spark.createDataFrame(versions, columns)).collect()
+    assert {(r.event_id, r.updated_at_utc.day - 1, r.payload_hash, r.first_seen_at.day - 1, r.last_seen_at.day - 1) for r in found} == expected
+    assert len(found) == len(expected)
+
+
+def test_folders_stay_few(spark, tmp_path):
+    root = str(tmp_path / "warehouse")
+    for n in range(5):
+        load_batch(spark, batch(tmp_path / f"b{n}", line(f"E{n}", 1), line("E0", n + 1)), root, run_id=f"r{n}", now=DAY[n])
+    warehouse = Warehouse(spark, root)
+    assert all(len(warehouse.state().of(name)) <= 3 for name in (EVENTS, "rejected_records", "ingestion_runs"))
+    assert warehouse.table("ingestion_runs").count() == 5
+    assert {name: row[1:3] for name, row in events(warehouse).items()} == {
+        "E0": (1, 5), **{f"E{n}": (n + 1, n + 1) for n in range(1, 5)}
+    }
+
+
+def test_retry_of_a_recorded_run_adds_nothing(spark, tmp_path):
+    root = str(tmp_path / "warehouse")
+    load_batch(spark, batch(tmp_path / "one", line("E1", 1), "bad"), root, run_id="r1", now=DAY[0])
+    before = Warehouse(spark, root).state()
+    again = batch(tmp_path / "one", line("E1", 1), "bad", store="S7")
+    assert load_batch(spark, again, root, run_id="r1", now=DAY[1], is_retry=True) == "r1"
+    assert Warehouse(spark, root).state() == before
+
+
+def test_empty_event_file_counts(spark, tmp_path):
+    source = batch(tmp_path / "one", line("E1", 1))
+    before = dry_run(spark, source).first()
+    (tmp_path / "one" / "work_order_events_02.jsonl").write_text("")
+    after = dry_run(spark, source).first()
+    assert (before.files_read, after.files_read) == (3, 4)
+    assert before.source_checksum != after.source_checksum
+
+
 def test_staged_profile_knows_earlier_references(spark, tmp_path):
     at_s1 = {"location": {"store_id": "S1"}, "labor": {"minutes": 1.5}}
     for profile, accepted in (("staged", 1), ("strict", 0)):
@@ -162,8 +248,27 @@ def test_stream_loads_each_file_once(spark, tmp_path):
     ingest_stream(spark, source, root, checkpoint).awaitTermination()
     warehouse = Warehouse(spark, root)
     assert {(r.event_id, r.event_type) for r in warehouse.table(EVENTS).collect()} == {("E1", "OPENED"), ("E2", "CLOSED")}
-    assert {r.run_id for r in warehouse.table("ingestion_runs").collect()} == {"stream-0", "stream-1"}
+    runs = [r.run_id for r in warehouse.table("ingestion_runs").collect()]
+    assert sorted(run.rpartition("-")[2] for run in runs) == ["0", "1"]
 
-    # A new checkpoint replays all files as one batch; no event is added twice.
-    ingest_stream(spark, source, root, str(tmp_path / "again"), name="again").awaitTermination()
+    # A new checkpoint replays all files as one batch; no event is added twice, no run id repeats.
+    ingest_stream(spark, source, root, str(tmp_path / "again")).awaitTermination()
+    runs = [r.run_id for r in warehouse.table("ingestion_runs").collect()]
+    assert len(runs) == len(set(runs)) == 3
     assert {(r.event_id, r.event_type) for r in warehouse.table(EVENTS).collect()} == {("E1", "OPENED"), ("E2", "CLOSED")}
+
+
+def test_stream_by_single_files(spark, tmp_path):
+    source = batch(tmp_path / "landing", line("E1", 2), "bad")
+    batch(tmp_path / "landing", "bad", line("E2", 1), name="work_order_events_02.jsonl")
+    root = str(tmp_path / "warehouse")
+    ingest_stream(spark, source, root, str(tmp_path / "checkpoint"), max_files=1).awaitTermination()
+    warehouse = Warehouse(spark, root)
+    assert warehouse.table("ingestion_runs").count() == 2
+    rejects = warehouse.table("rejected_records").filter("source_file like '%jsonl'")
+    assert {(r.source_file[-8:], r.source_row_number) for r in rejects.collect()} == {("01.jsonl", 2), ("02.jsonl", 1)}
+
+    folder = tmp_path / "landing" / "work_order_events_03.jsonl"
+    spark.range(4).selectExpr("'bad'").repartition(2).write.text(str(folder))
+    with pytest.raises(Exception, match="max_files"):
+        ingest_stream(spark, source, root, str(tmp_path / "checkpoint"), max_files=1).awaitTermination()

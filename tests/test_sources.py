@@ -57,18 +57,22 @@ def test_reference_rows(spark, tmp_path):
         "S1,C2,5,South,FALSE,x\n"
         "S4,C2\n"
         "S5,,6,,TRUE,x\n"
+        'S6,C3,7,"North\nWest",TRUE,x\n'
+        "S7,C3,8,South,no,x\n"
     )
     stores = read_stores(spark, str(tmp_path))
     assert {tuple(row) for row in stores.clean.collect()} == {
         ("S1", "C2", "5", "South", "FALSE"),
         ("S3", "C1", "4", 'North, "A"', "false"),
         ("S5", "", "6", "", "TRUE"),
+        ("S6", "C3", "7", "North\nWest", "TRUE"),
     }
     rejects = {row.source_row_number: (row.source_file, row.reason) for row in stores.rejects.collect()}
     assert rejects == {
         3: ("stores.csv", "missing store_id"),
         4: ("stores.csv", "active_flag must be TRUE or FALSE"),
         7: ("stores.csv", "active_flag must be TRUE or FALSE"),
+        10: ("stores.csv", "active_flag must be TRUE or FALSE"),
     }
 
 

@@ -2,37 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-def planned_changes(target: DataFrame, source: DataFrame, seen_at: Column) -> DataFrame:
-    """The rows a merge of ``source`` into ``target`` writes.
+def settle(versions: DataFrame) -> DataFrame:
+    """One row per event, as merging the loads one after the other would have left it.
 
-    ``source`` holds one row per event. A row is written if its event is new, if
-    it is newer than the stored one, or if it is equally old and its payload
-    differs. In the last two cases ``first_seen_at`` stays that of the stored
-    row, and ``replaced_in`` is the stored row's ``stored_in`` if the target has
-    such a column. Only these few columns of the target are read, no payloads.
+    ``versions`` holds at most one row per event and ``load_sequence``. A later
+    load replaces the row if it is newer, or equally old with another payload:
+    of the newest versions, in order of their loads, the one that last changed
+    the payload is the row that stays. It is first seen when any version was.
     """
-    place = F.col("stored_in") if "stored_in" in target.columns else F.lit("target")
-    stored = target.select(
-        "event_id",
-        F.col("updated_at_utc").alias("stored_time"),
-        F.col("payload_hash").alias("stored_hash"),
-        F.col("first_seen_at").alias("stored_first_seen"),
-        place.alias("replaced_in"),
-    )
-    newer = F.col("updated_at_utc") > F.col("stored_time")
-    corrected = (F.col("updated_at_utc") == F.col("stored_time")) & (
-        F.col("payload_hash") != F.col("stored_hash")
-    )
-    return (
-        source.join(stored, "event_id", "left")
-        .filter(F.col("replaced_in").isNull() | newer | corrected)
-        .withColumn("first_seen_at", F.coalesce("stored_first_seen", seen_at))
-        .withColumn("last_seen_at", seen_at)
-        .drop("stored_time", "stored_hash", "stored_first_seen")
-    )
+    event, newest = Window.partitionBy("event_id"), Window.partitionBy("event_id", "updated_at_utc")
+    payload_before = F.lag("payload_hash").over(newest.orderBy("load_sequence"))
+    changes = payload_before.isNull() | (payload_before != F.col("payload_hash"))
+    marked = versions.withColumns(
+        {
+            "_newest": F.max("updated_at_utc").over(event),
+            "_first_seen": F.min("first_seen_at").over(event),
+            "_changed": F.when(changes, F.col("load_sequence")),
+        }
+    ).withColumn("_last_change", F.max("_changed").over(newest))
+    stays = (F.col("updated_at_utc") == F.col("_newest")) & (F.col("load_sequence") == F.col("_last_change"))
+    return marked.filter(stays).withColumn("first_seen_at", F.col("_first_seen")).select(*versions.columns)
 
 
 def without(target: DataFrame, keys: DataFrame, key: str) -> DataFrame:

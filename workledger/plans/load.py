@@ -11,11 +11,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from workledger.operators.classify import accepted_events, classify, rejected_lines
 from workledger.operators.latest import latest_events
 from workledger.operators.merge import upsert
+from workledger.plans.checks import constraint_violations
 from workledger.plans.stats import already_loaded, ingest_stats, ingestion_run_row
-from workledger.plans.warehouse import REJECTS, RUNS, TABLES, Warehouse
+from workledger.plans.warehouse import EVENTS, REJECTS, RUNS, TABLES, State, Warehouse
 from workledger.session import configure, materialize
 from workledger.sources.checksum import batch_checksum, line_digest
-from workledger.sources.lines import number_rows, scan_lines
+from workledger.sources.lines import event_files, number_rows, scan_lines
 from workledger.sources.references import Reference, read_stores, read_technicians
 
 
@@ -26,6 +27,7 @@ class Batch:
     lines: DataFrame
     stores: Reference
     technicians: Reference
+    files: DataFrame | None = None
 
     @property
     def reference_rejects(self) -> DataFrame:
@@ -47,13 +49,16 @@ class Batch:
             text = F.to_json(F.struct(*names))
             return rows.withColumn("digest", line_digest(text))
 
-        return batch_checksum(self.lines, digested(self.stores), digested(self.technicians))
+        parts = [self.lines, digested(self.stores), digested(self.technicians)]
+        if self.files is not None:
+            # A file counts by its name too, so one without lines leaves a mark.
+            name_only = {"source_row_number": F.lit(0).cast("long"), "digest": line_digest(F.lit(""))}
+            parts.append(self.files.withColumns(name_only))
+        return batch_checksum(*parts)
 
-    @property
-    def stats(self) -> DataFrame:
-        return ingest_stats(
-            self.lines, self.stores.clean, self.technicians.clean, self.reference_rejects, self.checksum
-        )
+    def stats(self, checksum: DataFrame, current: DataFrame | None = None) -> DataFrame:
+        stores, technicians = self.stores.clean, self.technicians.clean
+        return ingest_stats(self.lines, stores, technicians, self.reference_rejects, checksum, self.files, current)
 
 
 def classify_batch(
@@ -63,19 +68,21 @@ def classify_batch(
     profile: str,
     known_stores: DataFrame,
     known_technicians: DataFrame,
+    files: DataFrame | None = None,
 ) -> Batch:
     """Classify scanned lines and write the result once for all later steps."""
     lines = scanned.withColumn("digest", line_digest(F.col("raw")))
     classified = classify(lines, known_stores, known_technicians, profile)
-    return Batch(number_rows(materialize(classified, "classified")), stores, technicians)
+    return Batch(number_rows(materialize(classified, "classified")), stores, technicians, files)
 
 
 def dry_run(spark: SparkSession, source_dir: str, profile: str = "strict") -> DataFrame:
     """The statistics of a batch; no warehouse is read or written."""
     configure(spark)
     stores, technicians = read_stores(spark, source_dir), read_technicians(spark, source_dir)
-    lines = scan_lines(spark, source_dir)
-    return classify_batch(lines, stores, technicians, profile, stores.clean, technicians.clean).stats
+    lines, files = scan_lines(spark, source_dir), event_files(spark, source_dir)
+    batch = classify_batch(lines, stores, technicians, profile, stores.clean, technicians.clean, files)
+    return batch.stats(batch.checksum)
 
 
 def load_batch(
@@ -85,14 +92,17 @@ def load_batch(
     profile: str = "strict",
     run_id: str | None = None,
     now: datetime | None = None,
+    is_retry: bool = False,
 ) -> str:
     """Load all event files of a folder; returns the id of the run that loaded them.
 
     A batch whose content was loaded before only refreshes the reference tables.
+    Other content under the id of a recorded run is an error, or adds nothing if
+    it ``is_retry``.
     """
     configure(spark)
-    lines = scan_lines(spark, source_dir)
-    return load_lines(spark, lines, source_dir, warehouse, profile, run_id, now)
+    lines, files = scan_lines(spark, source_dir), event_files(spark, source_dir)
+    return load_lines(spark, lines, source_dir, warehouse, profile, run_id, now, files, is_retry)
 
 
 def load_lines(
@@ -103,36 +113,80 @@ def load_lines(
     profile: str = "strict",
     run_id: str | None = None,
     now: datetime | None = None,
+    files: DataFrame | None = None,
+    is_retry: bool = False,
 ) -> str:
     """Load scanned lines, with the reference files of ``reference_dir``."""
     run_id = run_id or str(uuid.uuid4())
-    folder = uuid.uuid4().hex
-    seen_at = F.lit(now or datetime.now(timezone.utc)).cast("timestamp")
     tables = Warehouse(spark, warehouse)
     state = tables.state()
+    recorded = not tables.table(RUNS, state).filter(F.col("run_id") == run_id).isEmpty()
+    if recorded and is_retry:
+        return run_id
+    tables.mark(run_id, "STARTED")
+    try:
+        return _load(tables, state, scanned, files, reference_dir, profile, run_id, now, recorded)
+    except Exception:
+        tables.mark(run_id, "FAILED")
+        raise
+
+
+def _load(
+    tables: Warehouse,
+    state: State,
+    scanned: DataFrame,
+    files: DataFrame | None,
+    reference_dir: str,
+    profile: str,
+    run_id: str,
+    now: datetime | None,
+    recorded: bool,
+) -> str:
+    spark = tables.spark
+    seen_at = F.lit(now or datetime.now(timezone.utc)).cast("timestamp")
     stores, technicians = read_stores(spark, reference_dir), read_technicians(spark, reference_dir)
     for name, reference in (("stores", stores), ("technicians", technicians)):
         key = TABLES[name].fieldNames()[0]
         merged = upsert(tables.table(name, state), reference.clean, key)
-        state = state.put(name, tables.write(merged, name, folder))
+        state = state.put(name, tables.write(merged, name))
     # The staged profile checks ids against all references loaded so far.
     known = [stores.clean, technicians.clean]
     if profile == "staged":
         known = [tables.table("stores", state), tables.table("technicians", state)]
-    batch = classify_batch(scanned, stores, technicians, profile, *known)
+    batch = classify_batch(scanned, stores, technicians, profile, *known, files)
 
-    stats = materialize(batch.stats, "stats")
-    earlier = already_loaded(stats.select("source_checksum"), tables.table(RUNS, state)).first()
+    checksum = materialize(batch.checksum, "checksum")
+    earlier = already_loaded(checksum, tables.table(RUNS, state)).first()
     if earlier is not None:
         tables.publish(state)
         return earlier.run_id
-
-    rejects = reject_rows(batch.rejects, run_id, seen_at)
-    state = state.add(REJECTS, tables.write(rejects, REJECTS, folder))
-    events = batch.current.withColumn("raw_payload", F.parse_json("raw"))
-    state = tables.merge_events(state, events, stats.first().unique_valid_events, folder, seen_at)
+    if recorded:
+        raise ValueError(f"run {run_id} is recorded with other content")
+
+    events = batch.current.withColumns(
+        {
+            "raw_payload": F.parse_json("raw"),
+            "first_seen_at": seen_at,
+            "last_seen_at": seen_at,
+            "load_sequence": F.lit(state.sequence + 1).cast("long"),
+        }
+    )
+    written = {EVENTS: tables.write(events, EVENTS)}
+    stats = materialize(batch.stats(checksum, tables.rows(EVENTS, written[EVENTS])), "stats")
+    counts = stats.first()
+    written[REJECTS] = tables.write(reject_rows(batch.rejects, run_id, seen_at), REJECTS)
     run = ingestion_run_row(stats, run_id, F.current_timestamp() if now is None else seen_at)
-    state = state.add(RUNS, tables.write(run, RUNS, folder))
+    written[RUNS] = tables.write(run, RUNS)
+
+    # Events of other loads are settled with these by key, and run ids were looked up.
+    checked = constraint_violations(**{name: tables.rows(name, folder) for name, folder in written.items()})
+    broken = checked.filter("violations > 0").collect()
+    if broken:
+        raise ValueError("; ".join(f"{r.table_name}.{r.column_name} {r.constraint_kind}: {r.violations}" for r in broken))
+
+    sizes = {EVENTS: counts.unique_valid_events, REJECTS: counts.rejected_records, RUNS: 1}
+    for name, folder in written.items():
+        state = tables.add(state, name, folder._replace(rows=sizes[name]))
     tables.publish(state)
     return run_id
 

@@ -23,28 +23,36 @@ def ingest_stats(
     technicians: DataFrame,
     reference_rejects: DataFrame,
     checksum: DataFrame | None = None,
+    files: DataFrame | None = None,
+    current: DataFrame | None = None,
 ) -> DataFrame:
     """One row with the statistics of a batch.
 
+    ``files`` names the event files, also those without lines; ``current`` holds
+    the current versions where they have been written already.
+
     ``rejected_records`` counts lines and reference rows, ``records_read`` lines
     only. A version is superseded if it is accepted but not the current one.
     """
     accepted = F.col("reject_reason").isNull()
+    named = classified if files is None else files
     lines = classified.agg(
-        F.count_distinct("source_file").alias("event_files"),
         F.count("*").alias("records_read"),
         F.count_if(accepted).alias("accepted_event_versions"),
         F.count_if(~accepted).alias("rejected_lines"),
     )
-    # Only the columns that decide which version is current go into the shuffle.
-    versions = classified.filter(accepted).select(
-        "event_id", "work_order_id", "updated_at_utc", "payload_hash", "source_file", "source_row_number"
-    )
-    current = latest_events(versions).agg(
+    if current is None:
+        # Only the columns that decide which version is current go into the shuffle.
+        versions = classified.filter(accepted).select(
+            "event_id", "work_order_id", "updated_at_utc", "payload_hash", "source_file", "source_row_number"
+        )
+        current = latest_events(versions)
+    current = current.agg(
         F.count("*").alias("unique_valid_events"),
         F.count_distinct("work_order_id").alias("unique_work_orders"),
     )
     parts = [
+        named.agg(F.count_distinct("source_file").alias("event_files")),
         lines,
         current,
         stores.agg(F.count("*").alias("stores")),

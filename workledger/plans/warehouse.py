@@ -1,24 +1,30 @@
 """Parquet tables that change together.
 
-Every load writes new files and then publishes, as one small write, the list of
-files that make up each table. Readers follow the newest list, so they see all
-tables as before a load or all as after it; files of a failed load are in no
-list, and files are never changed.
-
-A merge writes the changed events as new files and writes again, without the
-replaced rows, only those files in which it replaces a row. It reads the key
-columns of the whole table, and corrections spread over many files rewrite many.
+Every load writes its rows into new folders and then publishes, as one small
+file, the list of the folders that make up each table. Readers follow the newest
+list, so they see all tables as before a load or all as after it; folders of a
+failed load are in no list, and files are never changed.
+
+A load appends its events as versions and neither reads nor rewrites stored
+ones; what merging load after load would have left is settled when the table is
+read. Folders of like size are written together as they come, so a table has
+about as many folders as the logarithm of its loads, and a row is written again
+about that often. Once all folders of the events are written together, they are
+settled for good.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass, replace
+from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from workledger import schemas
-from workledger.operators.merge import planned_changes, without
+from workledger.operators.merge import settle
 
 EVENTS = "work_order_events"
 REJECTS = "rejected_records"
@@ -30,29 +36,31 @@ TABLES = {
     "stores": schemas.STORES,
     "technicians": schemas.TECHNICIANS,
 }
+# Besides the columns of the table, stored events carry the number of their load.
+_STORED = TABLES | {EVENTS: T.StructType([*schemas.WORK_ORDER_EVENTS.fields, T.StructField("load_sequence", T.LongType())])}
 
-# Event ids of a batch that may be broadcast to look up its stored rows: a
-# short string each, so well below 100 MB.
-MAX_BROADCAST_IDS = 1_000_000
+_MARKS = "run_id string, status string, marked_at timestamp"
 
-_LIST_SCHEMA = "table_name string, file string"
+
+class Folder(NamedTuple):
+    """A folder of rows; ``rows`` counts them, for events before they are settled."""
+
+    name: str
+    rows: int
 
 
 @dataclass(frozen=True)
 class State:
-    """One published list: the files of each table, as ``<folder>/<file>``."""
+    """One published list: the folders of each table, oldest first."""
 
     sequence: int
-    files: dict[str, frozenset[str]]
+    folders: dict[str, tuple[Folder, ...]]
 
-    def of(self, table: str) -> frozenset[str]:
-        return self.files.get(table, frozenset())
+    def of(self, table: str) -> tuple[Folder, ...]:
+        return self.folders.get(table, ())
 
-    def put(self, table: str, files: frozenset[str]) -> State:
-        return replace(self, files={**self.files, table: files})
-
-    def add(self, table: str, files: frozenset[str]) -> State:
-        return self.put(table, self.of(table) | files)
+    def put(self, table: str, *folders: Folder) -> State:
+        return replace(self, folders={**self.folders, table: folders})
 
 
 class Warehouse:
@@ -60,67 +68,100 @@ class Warehouse:
         self.spark = spark
         self.root = root.rstrip("/")
 
+    # --- the list of folders ---
+
+    def _path(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+
     def state(self) -> State:
-        try:
-            lists = self.spark.read.schema(f"{_LIST_SCHEMA}, sequence bigint").parquet(f"{self.root}/published")
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
+        """The newest list; unfinished ones have hidden names."""
+        published = self._path("published")
+        files = published.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not files.exists(published):
             return State(0, {})
-        newest = lists.agg(F.max("sequence")).first()[0] or 0
-        files: dict[str, set[str]] = {}
-        for row in lists.filter(F.col("sequence") == newest).collect():
-            files.setdefault(row.table_name, set()).add(row.file)
-        return State(newest, {table: frozenset(names) for table, names in files.items()})
+        names = [status.getPath().getName() for status in files.listStatus(published)]
+        newest = max((name for name in names if name.endswith(".json") and name[0] != "."), default=None)
+        if newest is None:
+            return State(0, {})
+        content = json.loads(self.spark.read.text(f"{self.root}/published/{newest}", wholetext=True).first()[0])
+        folders = {table: tuple(Folder(*folder) for folder in listed) for table, listed in content["folders"].items()}
+        return State(content["sequence"], folders)
 
     def publish(self, state: State) -> State:
-        """Make ``state`` current. Fails if another load published meanwhile."""
-        entries = [(table, name) for table, names in state.files.items() for name in sorted(names)]
+        """Make ``state`` current. Fails if another load published meanwhile.
+
+        The list is written under a hidden name of its own and then renamed,
+        which fails if the number is taken; a crash before that leaves nothing
+        that a reader or a later load would meet.
+        """
         following = replace(state, sequence=state.sequence + 1)
-        self.spark.createDataFrame(entries, _LIST_SCHEMA).coalesce(1).write.mode("error").parquet(
-            f"{self.root}/published/sequence={following.sequence}"
-        )
+        content = json.dumps({"sequence": following.sequence, "folders": following.folders})
+        waiting = self._path(f"published/.{uuid.uuid4().hex}")
+        settings = self.spark._jsc.hadoopConfiguration()
+        stream = waiting.getFileSystem(settings).create(waiting, False)
+        stream.write(bytearray(content.encode()))
+        stream.close()
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        no_options = self.spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 0)
+        try:
+            hadoop.FileContext.getFileContext(waiting.toUri(), settings).rename(
+                waiting, self._path(f"published/{following.sequence:012}.json"), no_options
+            )
+        except Py4JJavaError as failed:
+            if "FileAlreadyExistsException" not in str(failed.java_exception):
+                raise
+            raise RuntimeError("another load published meanwhile") from failed
         return following
 
+    # --- tables ---
+
+    def rows(self, name: str, *folders: Folder) -> DataFrame:
+        """Stored rows of some folders; of events all versions."""
+        paths = [f"{self.root}/{name}/{folder.name}" for folder in folders]
+        return self.spark.read.schema(_STORED[name]).parquet(*paths)
+
     def table(self, name: str, state: State | None = None) -> DataFrame:
-        files = (state or self.state()).of(name)
-        if not files:
+        folders = (state or self.state()).of(name)
+        if not folders:
             return self.spark.createDataFrame([], TABLES[name])
-        paths = [f"{self.root}/{name}/{file}" for file in sorted(files)]
-        return self.spark.read.schema(TABLES[name]).parquet(*paths)
-
-    def write(self, df: DataFrame, name: str, folder: str) -> frozenset[str]:
-        """Write rows of a table into a folder of their own; returns the files."""
-        path = f"{self.root}/{name}/{folder}"
-        df.write.parquet(path)
-        written = self.spark.read.schema(TABLES[name]).parquet(path).inputFiles()
-        return frozenset(f"{folder}/{file.rpartition('/')[2]}" for file in written)
-
-    def merge_events(
-        self, state: State, batch: DataFrame, batch_rows: int, folder: str, seen_at: Column
-    ) -> State:
-        """Merge ``batch`` (one row per event, ``batch_rows`` of them) into the events."""
-        if not batch_rows:
+        rows = self.rows(name, *folders)
+        # The events of one folder alone are one row each.
+        rows = settle(rows) if name == EVENTS and len(folders) > 1 else rows
+        return rows.select(*TABLES[name].fieldNames())
+
+    def write(self, df: DataFrame, name: str, rows: int = 0) -> Folder:
+        """Write rows of a table into a folder of their own."""
+        folder = Folder(uuid.uuid4().hex, rows)
+        df.select(*_STORED[name].fieldNames()).write.parquet(f"{self.root}/{name}/{folder.name}")
+        return folder
+
+    def add(self, state: State, name: str, folder: Folder) -> State:
+        """List one more folder, written together with those before it that are not larger."""
+        if not folder.rows:
             return state
-        columns = TABLES[EVENTS].fieldNames()
-        stored = self.table(EVENTS, state)
-        if state.of(EVENTS):
-            stored = stored.withColumn("stored_in", F.regexp_extract("_metadata.file_path", "[^/]+/[^/]+$", 0))
-        if batch_rows <= MAX_BROADCAST_IDS:
-            # Leaves at most one stored row per batch row for the join.
-            stored = stored.join(F.broadcast(batch.select("event_id").distinct()), "event_id", "left_semi")
-        # The files carry ``replaced_in`` besides the columns of the table.
-        changes = planned_changes(stored, batch, seen_at).select(*columns, "replaced_in")
-        added = self.write(changes, EVENTS, folder)
-        if not state.of(EVENTS):
-            return state.add(EVENTS, added)
-        replaced = (
-            self.spark.read.schema("event_id string, replaced_in string")
-            .parquet(f"{self.root}/{EVENTS}/{folder}")
-            .filter("replaced_in is not null")
+        folders = [*state.of(name), folder]
+        together = folders[-1:]
+        while len(together) < len(folders) and folders[-len(together) - 1].rows <= sum(f.rows for f in together):
+            together = folders[-len(together) - 1 :]
+        if len(together) > 1:
+            kept, rows = folders[: -len(together)], self.rows(name, *together)
+            rows = settle(rows) if name == EVENTS and not kept else rows
+            folders = [*kept, self.write(rows, name, sum(f.rows for f in together))]
+        return state.put(name, *folders)
+
+    # --- runs ---
+
+    def mark(self, run_id: str, status: str) -> None:
+        """Note that a run was started or failed, outside of what it publishes."""
+        row = self.spark.range(1).select(
+            F.lit(run_id).alias("run_id"), F.lit(status).alias("status"), F.current_timestamp().alias("marked_at")
         )
-        touched = frozenset(row[0] for row in replaced.select("replaced_in").distinct().collect())
-        if touched:
-            rest = without(self.table(EVENTS, State(0, {EVENTS: touched})), replaced, "event_id")
-            added |= self.write(rest.select(*columns), EVENTS, f"{folder}-rest")
-        return state.put(EVENTS, state.of(EVENTS) - touched | added)
+        row.write.mode("append").parquet(f"{self.root}/run_marks")
+
+    def run_status(self) -> DataFrame:
+        """``run_id, status``: SUCCEEDED if the run is recorded, else its last mark."""
+        marks = self.spark.read.schema(_MARKS).parquet(f"{self.root}/run_marks")
+        last = marks.groupBy("run_id").agg(F.max_by("status", "marked_at").alias("mark"))
+        recorded = self.table(RUNS).select("run_id", F.lit("SUCCEEDED").alias("recorded"))
+        status = F.coalesce("recorded", "mark").alias("status")
+        return last.join(recorded, "run_id", "full").select("run_id", status)

@@ -8,10 +8,13 @@ number. Neither step sorts the lines or needs one task per file.
 
 from __future__ import annotations
 
+from fnmatch import fnmatchcase
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from workledger.schemas import EVENT_FILE_PATTERN
+from workledger.session import materialize
 
 POSITION = ("file_part", "block_start", "running_id")
 
@@ -60,6 +63,17 @@ def scan_lines(spark: SparkSession, source_dir: str, pattern: str = EVENT_FILE_P
     return with_running_id(with_place(scan.withColumnRenamed("value", "raw"), pattern))
 
 
+def event_files(spark: SparkSession, source_dir: str, pattern: str = EVENT_FILE_PATTERN) -> DataFrame:
+    """The names of all matching files, also of those without lines.
+
+    Scans leave empty files out, so the names come from the listing that every
+    scan keeps in the driver: as many as the batch has files.
+    """
+    places = [path.split("/") for path in spark.read.text(f"{source_dir.rstrip('/')}/{pattern}").inputFiles()]
+    names = {place[-2] if fnmatchcase(place[-2], pattern) else place[-1] for place in places}
+    return spark.createDataFrame([(name,) for name in sorted(names)], "source_file string")
+
+
 def number_rows(rows: DataFrame, first: int = 1, max_broadcast: int = MAX_BROADCAST_BLOCKS) -> DataFrame:
     """Replace the scan position by ``source_row_number``.
 
@@ -78,7 +92,9 @@ def number_rows(rows: DataFrame, first: int = 1, max_broadcast: int = MAX_BROADC
         *block,
         (F.coalesce(F.sum("n").over(earlier), F.lit(0)) + first - F.col("first_id")).alias("shift"),
     )
-    if blocks.limit(max_broadcast + 1).count() <= max_broadcast:
+    # Written once: every reader of the numbered rows joins it.
+    offsets = materialize(offsets, "blocks")
+    if offsets.count() <= max_broadcast:
         offsets = F.broadcast(offsets)
     return (
         rows.join(offsets, block)

@@ -24,8 +24,9 @@ class Reference:
 
 def scan_reference(spark: SparkSession, source_dir: str, file_name: str, key: str) -> DataFrame:
     """CSV rows as strings with their row number; the header is row 1."""
-    # An empty field is an empty text; NULL is left to rows that are too short.
-    options = {"header": True, "quote": '"', "escape": '"', "nullValue": "\0"}
+    # An empty field is an empty text; NULL is left to rows that are too short. A quoted
+    # line break belongs to its field, so a file is read by one task: these are dimensions.
+    options = {"header": True, "quote": '"', "escape": '"', "nullValue": "\0", "multiLine": True}
     rows = spark.read.options(**options).csv(f"{source_dir.rstrip('/')}/{file_name}")
     if key not in rows.columns:
         raise ValueError(f"{file_name} is missing required column {key}")

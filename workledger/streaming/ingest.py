@@ -1,9 +1,10 @@
 """Load event files as they land, with the batch load as the sink.
 
 Corrections may arrive at any age, so no watermark drops them: each micro-batch
-is merged into the event table by key. A repeated micro-batch has the run id and
-the content of the first attempt and adds nothing, unless the reference files
-have changed since.
+is merged into the event table by key. The run id is that of the query, which its
+checkpoint keeps, and of the micro-batch: a repeated micro-batch has the run id of
+the first attempt and adds nothing if that was recorded, also when the reference
+files have changed since.
 """
 
 from __future__ import annotations
@@ -26,7 +27,11 @@ def ingest_stream(
     profile: str = "strict",
     max_files: int | None = None,
 ) -> StreamingQuery:
-    """Load all files not loaded before and stop; call again for later files."""
+    """Load all files not loaded before and stop; call again for later files.
+
+    ``max_files`` is for event files that are single files: the line numbers of a
+    folder of part files run on over the parts, so its parts must come together.
+    """
     configure(spark)
     reader = spark.readStream.format("text")
     if max_files is not None:
@@ -35,8 +40,12 @@ def ingest_stream(
     lines = with_place(scan.withColumnRenamed("value", "raw"), EVENT_FILE_PATTERN)
 
     def load(batch: DataFrame, batch_id: int) -> None:
+        if max_files is not None and not batch.filter("file_part <> source_file").isEmpty():
+            raise ValueError("max_files would part an event file that is a folder of part files")
+        query = batch.sparkSession.read.json(f"{checkpoint.rstrip('/')}/metadata").first().id
+        run_id = f"{name}-{query}-{batch_id}"
         scanned = with_running_id(batch)
-        load_lines(batch.sparkSession, scanned, source_dir, warehouse, profile, f"{name}-{batch_id}")
+        load_lines(batch.sparkSession, scanned, source_dir, warehouse, profile, run_id, is_retry=True)
 
     return (
         lines.writeStream.foreachBatch(load)
