@@ -260,14 +260,32 @@ def _load_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _load_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = fresh_folder(configure(spark), "warehouse")
+    load_batch(spark, inputs.landed(spark, sf_dir), root, run_id="run-1", now=FIRST_LOAD)
+    # The same run once more, over another content: it is recorded and adds nothing.
+    other = inputs.landed(spark, sf_dir, inputs.FILES[:1])
+    load_batch(spark, other, root, run_id="run-1", now=SECOND_LOAD, is_retry=True)
+    return Warehouse(spark, root).table("rejected_records").drop("rejection_id")
+
+
+def _streamed(spark: SparkSession, sf_dir: str) -> Warehouse:
     folder, root = fresh_folder(configure(spark), "landing"), fresh_folder(spark, "warehouse")
     checkpoint = fresh_folder(spark, "stream")
     inputs.write_reference_files(spark, sf_dir, folder)
     for files in (inputs.FILES[:1], inputs.FILES[1:]):
         inputs.write_event_files(spark, sf_dir, folder, files)
         ingest_stream(spark, folder, root, checkpoint).awaitTermination()
-    return Warehouse(spark, root).table("work_order_events").select(
+    return Warehouse(spark, root)
+
+
+def _stream_ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rejects = _streamed(spark, sf_dir).table("rejected_records")
+    return rejects.select("source_file", "source_row_number", "reason", "raw_payload")
+
+
+def _stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _streamed(spark, sf_dir).table("work_order_events").select(
         "event_id", "work_order_id", "event_type", "updated_at_utc", "payload_hash", "labor_minutes",
         "source_file", "source_row_number",
     )
@@ -327,7 +345,9 @@ _QUERIES: dict[str, Query] = {
     "load_twice": _load_twice,
     "dry_run": _dry_run,
     "replay_rejects": _replay_rejects,
+    "load_retry": _load_retry,
     "stream_ingest": _stream_ingest,
+    "stream_ingest_rejects": _stream_ingest_rejects,
 }
 
 
@@ -345,5 +365,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    same = {"unknown_references_large": "unknown_references", "event_transitions_chunked": "event_transitions", "views_weekly_completed": "weekly_completed"}
+    same = {"unknown_references_large": "unknown_references", "event_transitions_chunked": "event_transitions", "views_weekly_completed": "weekly_completed", "load_retry": "load_rejects"}
     return ORACLES | {name: ORACLES[other] for name, other in same.items()} | TEXT_ORACLES

@@ -10,6 +10,7 @@ from workledger.session import configure, fresh_folder
 from workledger.sources.references import Reference, split_reference
 
 FILES = tuple(f"work_order_events_0{i}.jsonl" for i in (1, 2, 3))
+NO_LINES = "work_order_events_04.jsonl"  # an event file without a line
 _landed: dict[tuple[str, str, tuple[str, ...]], str] = {}
 
 
@@ -29,13 +30,8 @@ def work_order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of event files, spread over the cores if the table is one small file."""
-    lines = derive(spark, sf_dir, sql.EVENT_LINES).drop("f")
-    cores = spark.sparkContext.defaultParallelism
-    splits = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id").rdd.getNumPartitions()
-    if splits < cores:
-        lines = lines.repartition(cores, "source_row_number")
-    return lines
+    """Lines of event files, spread evenly."""
+    return derive(spark, sf_dir, sql.EVENT_LINES).drop("f").repartition("source_file", "source_row_number")
 
 
 def stores(spark: SparkSession, sf_dir: str) -> Reference:
@@ -73,7 +69,7 @@ def write_reference_files(spark: SparkSession, sf_dir: str, folder: str) -> None
         ).csv(f"{folder}/{name}")
 
 
-def landed(spark: SparkSession, sf_dir: str, files: tuple[str, ...] = FILES) -> str:
+def landed(spark: SparkSession, sf_dir: str, files: tuple[str, ...] = (*FILES, NO_LINES)) -> str:
     """A folder with event and reference files, written once per session."""
     wanted = (spark.sparkContext.applicationId, sf_dir, files)
     if wanted not in _landed:

@@ -57,7 +57,7 @@ select 'work_order_events_0' || cast(1 + event_id % 3 as string) || '.jsonl' as
 from """ + _NUMBERED
 
 # Rows of the store file: some without key or with a bad flag, some repeating
-# the key of the row before or after, some padded or in need of quotes.
+# the key of the row before or after, some padded, in need of quotes or of two lines.
 STORE_ROWS = """
 select 'stores.csv' as source_file,
     cast(c_custkey + 2 as bigint) as source_row_number,
@@ -67,7 +67,8 @@ select 'stores.csv' as source_file,
         else 'S' || cast(c_custkey as string) end as store_id,
     'C' || cast(c_custkey % 8 as string) as client_id,
     cast(2000 + c_custkey as string) as store_number,
-    case when c_custkey % 7 = 0 then ' ' || c_mktsegment || ', "A" ' else c_mktsegment end as region,
+    case when c_custkey % 7 = 0 then ' ' || c_mktsegment || ', "A" '
+        when c_custkey % 11 in (0, 2) then c_mktsegment || chr(10) || 'annex' else c_mktsegment end as region,
     case when c_custkey % 50 = 2 then 'MAYBE' when c_custkey % 2 = 0 then 'TRUE' else 'false' end
         as active_flag
 from $customer
