@@ -339,6 +339,22 @@ def test_language_id(docs, none):
     assert language_id.classify(language_id.train([]), ["abc"]) == (["und"], [0.0])
 
 
+def test_every_language_is_learned(spark):
+    rng = random.Random(9)
+    alphabets = {f"l{n:02}": [chr(0x400 + 12 * n + k) for k in range(12)] for n in range(20)}
+    word = lambda lang: "".join(rng.choices(alphabets[lang], k=5))
+    rows = [(100 * n + k, " ".join(word(lang) for _ in range(9)), lang) for n, lang in enumerate(alphabets) for k in range(40 if n < 16 else 8)]
+    # Rows without text, and a language of held-out rows only.
+    out = [i for i in range(9000, 9900) if zlib.crc32(str(i).encode()) % 3 == 1]
+    rows += [(i, None, "l19") for i in range(5000, 5300)] + [(i, "some words", "held") for i in out]
+    sample = language_id.training_rows(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 6)
+    sizes = Counter(lang for _, lang in sample)
+    inside = Counter(lang for i, t, lang in rows if t and zlib.crc32(str(i).encode()) % 3 != 1)
+    assert sizes == {lang: min(6, n) for lang, n in inside.items()} and set(sizes) == set(alphabets)
+    model = language_id.train(sample)
+    assert language_id.classify(model, [" ".join(own) for own in alphabets.values()])[0] == list(alphabets)
+
+
 def test_long_text_has_the_same_presence(monkeypatch):
     model = language_id.train([("the quick brown fox jumps", "a"), ("eine kurze zeile mehr", "b")])
     text = "the quick, brown fox; jumps eine kurze zeile mehr " * 9

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 HELD_OUT = 1
 BATCH_BYTES = 4 << 20
+SAMPLE_CHARS = 50_000
 
 
 class Lookup:
@@ -115,6 +116,40 @@ def append_columns(
     return sent.mapInArrow(portable(run), schema)
 
 
+def least_hashed(examples: DataFrame, rows_per_label: int) -> list[tuple[int, object]]:
+    """Of the distinct (doc_id, label) rows, those with the ``rows_per_label`` smallest hashes of their id in each label.
+
+    All labels are taken in one job, however many there are. What the driver
+    sorts was cut before by the hash below which a little more than
+    ``rows_per_label`` rows of the label are expected. Rows with a null are left out.
+    """
+    examples = examples.select(F.col("doc_id").cast("long").alias("doc_id"), "label").dropna().distinct()
+    order = F.xxhash64("doc_id")
+    # Eight standard deviations above what is needed.
+    share = (rows_per_label + 8 * rows_per_label**0.5 + 32) / F.col("count")
+    below = F.when(share < 1, share * 2.0**64 - 2.0**63).otherwise(2.0**63).alias("below")
+    bounds = examples.groupBy("label").count().select("label", below)
+    near = examples.join(F.broadcast(bounds), "label").filter(order <= F.col("below"))
+    by_label: dict[object, list[tuple[int, int]]] = {}
+    for row in near.select("label", order.alias("order"), "doc_id").collect():
+        by_label.setdefault(row.label, []).append((row.order, row.doc_id))
+    return [(i, label) for label, found in by_label.items() for _, i in sorted(found)[:rows_per_label]]
+
+
+def texts_of(texts: DataFrame, chosen: list[tuple[int, object]], label_type: str) -> list[tuple[str, object]]:
+    """One (text, label) row for each chosen id and label, by id; ``texts`` may have a label column of its own.
+
+    Of several texts under one id the smallest is taken, before the driver receives any.
+    """
+    if not chosen:
+        return []
+    ids = texts.sparkSession.createDataFrame(sorted(chosen), f"doc_id long, label {label_type}")
+    own = texts.withColumn("doc_id", F.col("doc_id").cast("long"))
+    joined = own.join(F.broadcast(ids), [c for c in ids.columns if c in texts.columns])
+    rows = joined.groupBy("doc_id", "label").agg(F.min("text").alias("text")).collect()
+    return [(row.text, row.label) for row in sorted(rows, key=lambda r: (r.doc_id, r.label))]
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, rows_per_label: int, max_chars: int = 50_000
 ) -> list[tuple[str, int]]:

@@ -18,7 +18,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from workledger.llm.common import Lookup, append_columns, labelled_sample
+from workledger.llm.common import SAMPLE_CHARS, Lookup, append_columns, held_out, least_hashed, texts_of
 
 UNDETERMINED = "und"
 SPECTRUM = 3
@@ -26,6 +26,8 @@ LANDMARKS = 40
 ROWS_PER_LANGUAGE = 250
 RIDGE = 1e-2
 BATCH = 256
+# Texts by n-grams of one presence matrix: more languages have more n-grams, so fewer texts are taken at once.
+CELLS = 1 << 24
 PIECE = 1 << 18
 BETWEEN = "\x01"
 
@@ -134,34 +136,66 @@ class Model:
             mark(waiting, np.array(rows))
         return out
 
+    def batches(self, rows: list):
+        """The rows in parts whose presence matrix is of bounded size."""
+        size = max(1, min(BATCH, CELLS // max(1, len(self.keys))))
+        return (rows[k : k + size] for k in range(0, len(rows), size))
+
     def kernel(self, texts: list[str], columns: np.ndarray) -> np.ndarray:
-        """Kernel values with landmarks, or with sums of them (``columns`` is normalised already)."""
+        """Kernel values with sums of landmarks (``columns`` is normalised already)."""
         present = self.presence(texts)
         return present @ columns / np.sqrt(np.maximum(1, present.sum(1)))[:, None]
 
+    def columns(self, landmarks: list[np.ndarray]) -> np.ndarray:
+        out = np.zeros((len(self.keys), len(landmarks)), np.float32)
+        for column, own in enumerate(landmarks):
+            out[own, column] = 1
+        return out
+
+    def common(self, texts: list[str], landmarks: list[np.ndarray]) -> np.ndarray:
+        """Kernel values with landmarks, each given by the places of its n-grams."""
+        parts = [np.zeros((0, len(landmarks)))]
+        for some in self.batches(texts):
+            present = self.presence(some)
+            both = np.concatenate([present @ self.columns(part) for part in self.batches(landmarks)], 1).astype(np.float64)
+            parts.append(both / np.sqrt(np.maximum(1, present.sum(1)))[:, None])
+        return np.concatenate(parts) / np.sqrt([max(1, len(own)) for own in landmarks])
+
 
 def train(sample: list[tuple[str, str]], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
-    """Fit on (text, language) rows: the first ``landmarks`` rows of each language are the landmarks."""
-    rows = [(t, lang) for t, lang in sample if has_letter(t)]
-    languages = sorted({lang for _, lang in rows})
-    chosen = [x for lang in languages for x in [t for t, own in rows if own == lang][:landmarks]]
+    """Fit on (text, language) rows: the first ``landmarks`` rows of each language are the landmarks.
+
+    Memory grows with the square of the landmarks and with n-grams times languages.
+    """
+    by_language: dict[str, list[str]] = {}
+    for text, lang in sample:
+        if has_letter(text):
+            by_language.setdefault(lang, []).append(text)
+    languages = sorted(by_language)
+    chosen = [t for lang in languages for t in by_language[lang][:landmarks]]
     if not chosen:
         return Model([], np.zeros(0, np.uint64), np.zeros((0, 0), np.float32))
-    model = Model(languages, np.unique(np.concatenate([grams(t) for t in chosen])), np.zeros((0, 0)))
-    columns = model.presence(chosen)
-    columns = (columns / np.sqrt(np.maximum(1, columns.sum(1)))[:, None]).T
-    among = model.kernel(chosen, columns).astype(np.float64)
+    grams_of = [grams(t) for t in chosen]
+    model = Model(languages, np.unique(np.concatenate(grams_of)), np.zeros((0, 0)))
+    places = [np.searchsorted(model.keys, own) for own in grams_of]
+    among = model.common(chosen, places)
     values, vectors = np.linalg.eigh((among + among.T) / 2)
     kept = values > 1e-6 * values.max()
     to_features = vectors[:, kept] / np.sqrt(values[kept])
-    at_once = [rows[k : k + BATCH] for k in range(0, len(rows), BATCH)]
-    features = np.concatenate([model.kernel([t for t, _ in part], columns) for part in at_once]) @ to_features
-    targets = np.array([[1.0 if own == lang else -1.0 for lang in languages] for _, own in rows])
-    # Each language weighs the same, whatever its share of the sample.
-    sizes = {lang: sum(own == lang for _, own in rows) for lang in languages}
-    weighed = features * np.array([1 / sizes[own] for _, own in rows])[:, None]
-    solved = np.linalg.solve(weighed.T @ features + ridge * np.eye(features.shape[1]) / len(rows), weighed.T @ targets)
-    model.weights = (columns @ (to_features @ solved)).astype(np.float32)
+    count = sum(map(len, by_language.values()))
+    square, toward = ridge * np.eye(int(kept.sum())) / count, np.zeros((int(kept.sum()), len(languages)))
+    for n, lang in enumerate(languages):
+        features = model.common(by_language[lang], places) @ to_features
+        # Each language weighs the same, whatever its share of the sample.
+        square += features.T @ features / len(features)
+        mean = features.mean(0)
+        toward -= mean[:, None]
+        toward[:, n] += 2 * mean
+    solved = to_features @ np.linalg.solve(square, toward)
+    weights = np.zeros((len(model.keys), len(languages)))
+    for own, part in zip(places, solved, strict=True):
+        weights[own] += part / max(1, len(own)) ** 0.5
+    model.weights = weights.astype(np.float32)
     return model
 
 
@@ -169,8 +203,7 @@ def classify(model: Model, texts: list[str | None]) -> tuple[list[str], list[flo
     """Language and score of each text; the score is the best language's part of the soft maximum."""
     names, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
     known = [k for k, t in enumerate(texts) if model.languages and has_letter(t)]
-    for begin in range(0, len(known), BATCH):
-        some = known[begin : begin + BATCH]
+    for some in model.batches(known):
         values = model.kernel([texts[k] for k in some], model.weights).astype(np.float64)
         best = values.argmax(1)
         part = 1 / np.exp(4 * (values - values.max(1, keepdims=True))).sum(1)
@@ -182,13 +215,12 @@ def classify(model: Model, texts: list[str | None]) -> tuple[list[str], list[flo
 def training_rows(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> list[tuple[str, str]]:
     """The bounded sample: at most ``rows_per_language`` whole texts of each language outside the held-out fold.
 
-    Languages are numbered by their rank, so at most sixteen, the frequent ones, are learned.
+    Every language counts, however rare; rows without a letter and texts over
+    ``SAMPLE_CHARS`` are no examples and take no example's place.
     """
-    named = docs.select("doc_id", "lang").filter("lang IS NOT NULL")
-    frequent = [r.lang for r in named.groupBy("lang").count().sort(F.desc("count"), "lang").limit(16).collect()]
-    number = F.array_position(F.array(*[F.lit(x) for x in frequent]), F.col("lang")) if frequent else F.lit(0)
-    labels = named.withColumn("number", number).filter("number > 0")
-    return [(t, frequent[n - 1]) for t, n in labelled_sample(docs, labels, "number", rows_per_language)]
+    usable = F.col("lang").isNotNull() & (F.length("text") <= SAMPLE_CHARS) & F.col("text").rlike(r"\p{L}")
+    texts = docs.filter(~held_out() & usable).select("doc_id", "text", F.col("lang").alias("label"))
+    return texts_of(texts, least_hashed(texts, rows_per_language), "string")
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
