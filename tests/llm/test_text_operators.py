@@ -400,3 +400,14 @@ def test_folds_and_samples(spark):
     sample = labelled_sample(df, df.unionByName(df), "quality", 8)
     assert all(zlib.crc32(t.split()[1].encode()) % 3 != 1 for t, _ in sample) and len(sample) <= 16
     assert labelled_sample(df.limit(0), df, "quality", 8) == [] == labelled_sample(df, df.limit(0), "quality", 8)
+
+
+def test_repeated_rows_take_one_place_in_a_sample(spark):
+    from workledger.llm.common import labelled_sample
+
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
+    df = spark.createDataFrame([(i, f"text {i}", i % 2) for i in ids], "doc_id long, text string, quality int")
+    once = labelled_sample(df, df, "quality", 5)
+    assert len(once) == 10
+    often = df.filter(F.col("text").isin([t for t, _ in once])).crossJoin(spark.range(50)).drop("id")
+    assert labelled_sample(df.unionByName(often), df.unionByName(often), "quality", 5) == once

@@ -151,25 +151,15 @@ def texts_of(texts: DataFrame, chosen: list[tuple[int, object]], label_type: str
 
 
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, rows_per_label: int, max_chars: int = 50_000
+    docs: DataFrame, labels: DataFrame, label: str, rows_per_label: int, max_chars: int = SAMPLE_CHARS
 ) -> list[tuple[str, int]]:
     """At most ``rows_per_label`` texts of each label value outside the held-out fold.
 
-    The rows with the smallest hashes of their id are taken, so the sample is
-    the same whatever the partitioning. Texts over ``max_chars`` are left out
-    of the sample, which bounds what the driver receives. Rows without text,
-    id or label are no examples.
+    The ids with the smallest hashes are taken, each once however often it is
+    repeated, so the sample is the same whatever the partitioning. Texts over
+    ``max_chars`` are left out of the sample, which bounds what the driver
+    receives. Rows without text, id or label are no examples.
     """
-    spark = docs.sparkSession
-    usable = labels.filter(~held_out()).select("doc_id", F.col(label).cast("int").alias("label")).dropna()
-    values = [row.label for row in usable.select("label").distinct().sort("label").limit(16).collect()]
-    chosen = []
-    for value in values:
-        order = F.xxhash64("doc_id"), F.col("doc_id")
-        chosen += usable.filter(F.col("label") == value).sort(*order).limit(rows_per_label).collect()
-    if not chosen:
-        return []
-    ids = spark.createDataFrame(sorted({(row.doc_id, row.label) for row in chosen}), "doc_id long, label int")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(F.length("text") <= max_chars)
-    rows = texts.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "label").collect()
-    return [(row.text, row.label) for row in sorted(rows, key=lambda r: (r.doc_id, r.label, r.text))]
+    usable = labels.filter(~held_out()).select("doc_id", F.col(label).cast("int").alias("label"))
+    texts = docs.select("doc_id", "text").filter(F.length("text") <= max_chars)
+    return texts_of(texts, least_hashed(usable, rows_per_label), "int")
