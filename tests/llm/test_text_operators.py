@@ -411,3 +411,11 @@ def test_repeated_rows_take_one_place_in_a_sample(spark):
     assert len(once) == 10
     often = df.filter(F.col("text").isin([t for t, _ in once])).crossJoin(spark.range(50)).drop("id")
     assert labelled_sample(df.unionByName(often), df.unionByName(often), "quality", 5) == once
+
+
+def test_every_grade_is_learned(spark):
+    rows = [(i, f"text of {i}", i % 20) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    sample = toxicity.training_rows(df, df, 4)
+    assert {g for _, g in sample} == set(range(20)) and len(sample) == 80
+    assert toxicity.train(sample).grades == list(range(20))

@@ -111,6 +111,7 @@ def train(sample: list[tuple[str, int]]) -> Model:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, rows_per_grade: int = ROWS_PER_GRADE) -> list[tuple[str, int]]:
+    """The bounded sample: at most ``rows_per_grade`` texts of each grade, of all grades there are."""
     return labelled_sample(docs, labels, "toxic", rows_per_grade)
 
 
