@@ -178,6 +178,35 @@ def test_contamination(spark, docs, none, monkeypatch, block):
     assert decontamination.decontaminate(none, spark.createDataFrame(items, "item_id long, text string")).count() == 0
 
 
+@pytest.mark.parametrize("block", [10, 200_000])
+def test_contamination_holds_one_automaton_a_stage_and_equals_the_sql(spark, docs, monkeypatch, tmp_path, block):
+    monkeypatch.setattr(decontamination, "BLOCK_CHARS", block)
+    long = " ".join(f"q{i}" for i in range(30))
+    items = spark.createDataFrame([(10, "One TWO"), (9, long), (11, long[20:] + " one two"), (12, None), (13, "--"), (14, "ünï cödé")], "item_id long, text string")
+    texts = [long.upper(), "start, " + long[:60] + " end", f"{long[:45]} one two {long}"]
+    more = spark.createDataFrame([(200 + n, t, None, None) for n, t in enumerate(texts)], docs.schema)
+    all_docs = docs.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(more)
+    assert len(list(decontamination.item_blocks(items))) == (3 if block == 10 else 1)
+    plan = decontamination.decontaminate(all_docs, items)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    assert_equals_sql(spark, all_docs, items, tmp_path)
+
+
+def assert_equals_sql(spark, docs, items, folder):
+    import duckdb
+
+    from workledger.llm import queries
+
+    connection = duckdb.connect()
+    for name, table in (("documents", docs), ("benchmark", items)):
+        table.write.parquet(f"{folder}/{name}.parquet")
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{folder}/{name}.parquet/*.parquet')")
+    expected = connection.execute(queries.ORACLES["op2_benchmark_decontamination"]).fetchall()
+    found = queries.contamination(spark, str(folder)).collect()
+    assert sorted(map(tuple, found)) == sorted(expected)
+    assert any(row.n_hit for row in found)
+
+
 # --- secrets ------------------------------------------------------------------
 
 

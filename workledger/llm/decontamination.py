@@ -6,8 +6,9 @@ normalised text, its words between single spaces, so a window matches at word
 borders only, and every match leads back to the characters of the original text.
 
 The items are a stated query set. They are taken in blocks of a bounded size,
-each block is one automaton, and every text is scanned once per block; the
-blocks' findings per document are then put together.
+each block is one automaton, and every text is scanned once per block. Of
+several blocks each is scanned in a job of its own, which writes the findings
+of documents with hits; one aggregation puts them together.
 
 Defined cases: null and empty texts have no words, no hits and are clean; null
 items and items without words match nothing; equal items are all reported;
@@ -17,11 +18,14 @@ columns of the same names.
 
 from __future__ import annotations
 
+import itertools
+
 import ahocorasick
 import numpy as np
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from workledger.llm.common import append_columns
+from workledger.session import fresh_folder, materialize
 
 WINDOW = 13
 # An automaton takes about 300 bytes for each character of its items.
@@ -110,17 +114,28 @@ def _offsets(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def item_blocks(items: DataFrame, id_column: str = "item_id", text_column: str = "text"):
-    """The items in blocks of at most ``BLOCK_CHARS`` characters (or one longer item), read one block at a time."""
-    block, size = [], 0
+    """The items in blocks of less than ``BLOCK_CHARS`` characters besides one item, received one block at a time.
+
+    The numbered blocks are written to the shared folder. A block's items may come of several partitions.
+    """
     named = items.select(F.col(id_column).cast("string").alias("name"), F.col(text_column).alias("text"))
-    for row in named.dropna().toLocalIterator():
-        if block and size + len(row.text) > BLOCK_CHARS:
-            yield block
-            block, size = [], 0
-        block.append((row.name, row.text))
-        size += len(row.text)
-    if block:
-        yield block
+    named = named.dropna()
+    # Written first, as the part a row is met in may differ between two readings.
+    placed = named.select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("place"))
+    placed = materialize(placed, "items")
+    size, offsets = 0, []
+    for row in placed.groupBy("part").agg(F.sum(F.length("text")).alias("size")).sort("part").collect():
+        offsets.append((row.part, size))
+        size += row.size
+    before = Window.partitionBy("part").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    begin = F.col("offset") + F.coalesce(F.sum(F.length("text")).over(before), F.lit(0))
+    parts = items.sparkSession.createDataFrame(offsets, "part int, offset long")
+    numbered = placed.join(F.broadcast(parts), "part").withColumn("block", F.floor(begin / BLOCK_CHARS))
+    blocks = materialize(numbered, "blocks")
+    for number in range(size // BLOCK_CHARS + 1 if offsets else 0):
+        own = [(item.name, item.text) for item in blocks.filter(F.col("block") == number).sort("place").collect()]
+        if own:
+            yield own
 
 
 def scan(docs: DataFrame, items: list[tuple[str, str]], text: str = "text", output: str = "found") -> DataFrame:
@@ -146,18 +161,33 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text") ->
     contaminated if at least a twentieth of its words, and at least one, is hit.
     """
     made = ["n_words", "n_hit", "n_items", "items", "hits", "contaminated"]
-    out, names = docs, []
-    for n, block in enumerate([*item_blocks(benchmark)] or [[]]):
-        names.append(f"__found_{n}")
-        out = scan(out, block, text, names[-1])
-    gathered = lambda field: F.flatten(F.array(*[F.col(f"{n}.{field}") for n in names]))
+    blocks = item_blocks(benchmark)
+    first, second = next(blocks, []), next(blocks, None)
     kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in made]
+    if second is None:
+        fields = ["__found.hit_words", "__found.items", "__found.hits"]
+        out = scan(docs, first, text, "__found")
+    else:
+        rows = materialize(docs.withColumn("__place", F.monotonically_increasing_id()), "documents")
+        path = fresh_folder(docs.sparkSession, "found")
+        # A job for each block, so that a task holds one automaton; only documents with hits are written.
+        for block in itertools.chain([second], blocks):
+            found = scan(rows.select("__place", F.col(f"`{text}`").alias("__text")), block, "__text", "__found")
+            found.filter(F.size("__found.hits") > 0).select("__place", "__found").write.mode("append").parquet(path)
+        fields = ["hit_words", "items", "hits"]
+        others = docs.sparkSession.read.schema(T.StructType([T.StructField("__place", T.LongType()), T.StructField("__found", FOUND)])).parquet(path)
+        others = others.groupBy("__place").agg(*[F.flatten(F.collect_list(f"__found.{f}")).alias(f"__{f}") for f in fields])
+        both = lambda f: F.concat(f"__found.{f}", F.coalesce(f"__{f}", F.array())).alias(f"__all_{f}")
+        out = scan(rows, first, text, "__found").join(others, "__place", "left")
+        out = out.select(*kept, "__found", *[both(f) for f in fields])
+        fields = [f"__all_{f}" for f in fields]
+    hit_words, items, hits = fields
     out = out.select(
         *kept,
-        F.col(f"{names[0]}.n_words").alias("n_words"),
-        F.size(F.array_distinct(gathered("hit_words"))).cast("long").alias("n_hit"),
-        F.sort_array(F.array_distinct(gathered("items"))).alias("items"),
-        gathered("hits").alias("hits"),
+        F.col("__found.n_words").alias("n_words"),
+        F.size(F.array_distinct(hit_words)).cast("long").alias("n_hit"),
+        F.sort_array(F.array_distinct(items)).alias("items"),
+        F.sort_array(hits).alias("hits"),
     )
     return out.withColumns(
         {
