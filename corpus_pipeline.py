@@ -50,7 +50,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold too much of the benchmark go."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _rows(decontamination.decontaminate(_apart(docs), benchmark, "__text"), ~F.col("contaminated"))
+    return _rows(decontamination.decontaminate(_apart(docs), benchmark, "__text", unnamed=True), ~F.col("contaminated"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -192,6 +192,18 @@ def test_contamination_holds_one_automaton_a_stage_and_equals_the_sql(spark, doc
     assert_equals_sql(spark, all_docs, items, tmp_path)
 
 
+def test_items_without_id_count_as_in_the_sql(spark, monkeypatch, tmp_path):
+    from corpus_pipeline import drop_contaminated
+
+    docs = spark.createDataFrame([(1, "no name here"), (2, "other words"), (3, "named one, no name"), (4, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "no name"), (None, "here"), (5, "named one"), (6, None)], "item_id long, text string")
+    assert_equals_sql(spark, docs, items, tmp_path)
+    assert [r.doc_id for r in drop_contaminated(spark, docs, str(tmp_path)).sort("doc_id").collect()] == [2, 4]
+    monkeypatch.setattr(decontamination, "BLOCK_CHARS", 1)
+    assert_equals_sql(spark, docs, items, tmp_path / "blocks")
+    assert [r.doc_id for r in drop_contaminated(spark, docs, str(tmp_path)).sort("doc_id").collect()] == [2, 4]
+
+
 def assert_equals_sql(spark, docs, items, folder):
     import duckdb
 

@@ -10,8 +10,8 @@ each block is one automaton, and every text is scanned once per block. Of
 several blocks each is scanned in a job of its own, which writes the findings
 of documents with hits; one aggregation puts them together.
 
-Defined cases: null and empty texts have no words, no hits and are clean; null
-items and items without words match nothing; equal items are all reported;
+Defined cases: null and empty texts have no words, no hits and are clean;
+items without text, without id (unless they are asked for) and items without words match nothing; equal items are all reported;
 an empty benchmark leaves every document clean. Output columns replace input
 columns of the same names.
 """
@@ -53,7 +53,7 @@ def words_of(text: str | None) -> list[bytes]:
 class Automaton:
     """All windows of a block of items in one automaton over normalised text."""
 
-    def __init__(self, items: list[tuple[str, str]]):
+    def __init__(self, items: list[tuple[str | None, str]]):
         windows: dict[str, tuple[int, list[str]]] = {}
         for name, text in items:
             words = words_of(text)
@@ -68,7 +68,7 @@ class Automaton:
                 self.machine.add_word(window, value)
             self.machine.make_automaton()
 
-    def scan(self, text: str | None) -> tuple[int, list[int], list[str], list[tuple[int, int]]]:
+    def scan(self, text: str | None) -> tuple[int, list[int], list[str | None], list[tuple[int, int]]]:
         """Word count, places of hit words, ids of items found, and hit passages as character offsets."""
         words = words_of(text)
         if not self.machine or not words:
@@ -80,12 +80,13 @@ class Automaton:
         # A match ends at the space behind its last word; the number of that word is the number of spaces so far.
         spaces = np.flatnonzero(np.frombuffer(line.encode("utf-32-le"), "<u4") == 32)
         last = np.searchsorted(spaces, [end for end, _ in matches]) - 1
-        found, spans = set(), []
+        found: set[str | None] = set()
+        spans = []
         for end, (_, (length, owners)) in zip(last.tolist(), matches, strict=True):
             found.update(owners)
             spans.append((end - length + 1, end))
         spans = _joined(spans)
-        return len(words), [w for a, b in spans for w in range(a, b + 1)], sorted(found), _offsets(text, spans)
+        return len(words), [w for a, b in spans for w in range(a, b + 1)], sorted(found, key=lambda name: name or ""), _offsets(text, spans)
 
 
 def _joined_words(words: list[bytes]) -> str:
@@ -113,13 +114,13 @@ def _offsets(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(int(char[begin[a]]), int(char[stop[b]])) for a, b in spans]
 
 
-def item_blocks(items: DataFrame, id_column: str = "item_id", text_column: str = "text"):
+def item_blocks(items: DataFrame, id_column: str = "item_id", text_column: str = "text", unnamed: bool = False):
     """The items in blocks of less than ``BLOCK_CHARS`` characters besides one item, received one block at a time.
 
     The numbered blocks are written to the shared folder. A block's items may come of several partitions.
     """
     named = items.select(F.col(id_column).cast("string").alias("name"), F.col(text_column).alias("text"))
-    named = named.dropna()
+    named = named.dropna(subset=["text"] if unnamed else None)
     # Written first, as the part a row is met in may differ between two readings.
     placed = named.select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("place"))
     placed = materialize(placed, "items")
@@ -138,7 +139,7 @@ def item_blocks(items: DataFrame, id_column: str = "item_id", text_column: str =
             yield own
 
 
-def scan(docs: DataFrame, items: list[tuple[str, str]], text: str = "text", output: str = "found") -> DataFrame:
+def scan(docs: DataFrame, items: list[tuple[str | None, str]], text: str = "text", output: str = "found") -> DataFrame:
     """Add the struct ``output``: findings of one block of items in each whole text."""
 
     def prepare():
@@ -153,15 +154,17 @@ def scan(docs: DataFrame, items: list[tuple[str, str]], text: str = "text", outp
     return append_columns(docs, [text], T.StructType([T.StructField(output, FOUND)]), prepare)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", unnamed: bool = False) -> DataFrame:
     """Add ``n_words, n_hit, n_items, items, hits, contaminated`` to every document.
 
     ``items`` holds the ids found, sorted as strings; ``hits`` the hit passages of
     the original text (those of different blocks may overlap). A document is
     contaminated if at least a twentieth of its words, and at least one, is hit.
+    With ``unnamed``, items without id count too, as the SQL has them: together
+    they are one item whose id is null. Otherwise they match nothing.
     """
     made = ["n_words", "n_hit", "n_items", "items", "hits", "contaminated"]
-    blocks = item_blocks(benchmark)
+    blocks = item_blocks(benchmark, unnamed=unnamed)
     first, second = next(blocks, []), next(blocks, None)
     kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in made]
     if second is None:

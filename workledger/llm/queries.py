@@ -40,9 +40,10 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = decontamination.decontaminate(_texts(spark, sf_dir), _table(spark, sf_dir, "benchmark", "item_id", "text"))
-    items = _digest(F.col("items")).alias("items_sha256")
-    return judged.select("doc_id", "n_words", "n_hit", "n_items", items, "contaminated")
+    items = _table(spark, sf_dir, "benchmark", "item_id", "text")
+    judged = decontamination.decontaminate(_texts(spark, sf_dir), items, unnamed=True)
+    digest = _digest(F.col("items")).alias("items_sha256")
+    return judged.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
 
 
 def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
