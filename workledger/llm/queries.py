@@ -8,11 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from workledger.llm import (
     bpe,
     decontamination,
+    embedding_whitening,
     language_id,
+    periodic_runs,
     quality_classifier,
     quality_rules,
     secret_scan,
     simhash,
+    source_mixing,
     token_counts,
     toxicity,
     warc,
@@ -108,6 +111,63 @@ def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def _planted(docs: DataFrame) -> DataFrame:
+    """Documents whose hash is divisible by ten, made periodic from some word on; the others as they are."""
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    hashed = docs.withColumn("__h", F.crc32(F.col("doc_id").cast("string").cast("binary")))
+    chosen = (F.col("__h") % 10 == 0) & F.col("text").isNotNull()
+    split = hashed.withColumn("__words", F.when(chosen, words)).withColumns(
+        {"__n": F.size("__words").cast("long"), "__g": F.floor(F.col("__h") / 10).cast("long")}
+    )
+    begin = F.pmod(F.col("__g"), F.greatest(F.col("__n"), F.lit(1)))
+    period = 1 + F.floor((F.col("__n") - F.col("__a")) / (3 + F.col("__g") % 8)).cast("long")
+    placed = split.withColumn("__a", begin).withColumn("__p", period)
+    a, p = F.col("__a"), F.col("__p")
+    again = F.transform(
+        F.sequence(F.lit(0).cast("long"), F.col("__n") - 1),
+        lambda i: F.get("__words", F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")),
+    )
+    return placed.select("doc_id", F.when(F.col("__n") > 0, F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(_planted(_texts(spark, sf_dir)))
+    ranked = F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period")))
+    longest = F.array_min(ranked)
+    written = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], F.concat(r["period"].cast("string"), F.lit("\n"))))
+    length, period = -longest["less"], longest["period"]
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        longest["start"].alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(written, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text", "source")
+    return source_mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def whitened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, model = embedding_whitening.whiten(_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+    each = rows.select("vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened"))
+    explained = F.array(*map(F.lit, model.explained.tolist())).cast("array<double>")
+    return each.select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        F.lit(model.n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(explained, "place").alias("explained"),
+        F.lit(model.identity_error).alias("identity_error"),
+    )
+
+
 QUERIES = {
     "op1_quality_classifier": quality,
     "op2_benchmark_decontamination": contamination,
@@ -119,6 +179,9 @@ QUERIES = {
     "op8_warc": archives,
     "op9_quality_rules": rules,
     "op10_language_id": languages,
+    "op11_periodic_runs": runs,
+    "op12_source_mixing": mixture,
+    "op13_embedding_whitening": whitened,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
