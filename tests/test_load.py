@@ -5,12 +5,13 @@ from datetime import datetime, timezone
 from itertools import product
 
 import pytest
+from pyspark.sql import functions as F
 
 from workledger import schemas
-from workledger.operators.merge import settle
+from workledger.operators.merge import changed_events
 from workledger.plans.checks import constraint_violations
 from workledger.plans.load import dry_run, load_batch, replay_rejects
-from workledger.plans.warehouse import EVENTS, Folder, Warehouse
+from workledger.plans.warehouse import EVENTS, REJECTS, Warehouse, bucket_of
 from workledger.streaming.ingest import ingest_stream
 
 DAY = [datetime(2026, 2, day, tzinfo=timezone.utc) for day in range(1, 6)]
@@ -42,6 +43,11 @@ def events(warehouse):
     }
 
 
+def buckets(spark, *ids, count=64):
+    rows = spark.createDataFrame([(i,) for i in ids], "id string").select(bucket_of(F.col("id"), count).alias("b")).collect()
+    return {r.b for r in rows}
+
+
 def test_load_replay_and_correct(spark, tmp_path):
     root = str(tmp_path / "warehouse")
     warehouse = Warehouse(spark, root)
@@ -80,11 +86,12 @@ def test_load_replay_and_correct(spark, tmp_path):
     }
     assert {row.store_id for row in warehouse.table("stores").collect()} == {"S1", "S2"}
 
-    # A small batch leaves the folders of larger ones alone, corrections or not.
+    # A small batch leaves the buckets of other events alone.
     before = warehouse.state().of(EVENTS)
     third = batch(tmp_path / "three", line("E6", 1), line("E1", 4, "CLOSED"))
     load_batch(spark, third, root, run_id="r4", now=DAY[3])
-    assert len(before) == 1 and warehouse.state().of(EVENTS)[:1] == before
+    after = warehouse.state().of(EVENTS)
+    assert {b for b in after if before.get(b) != after[b]} == buckets(spark, "E6", "E1")
     assert events(warehouse)["E1"] == ("CLOSED", 1, 4, "CLOSED")
     assert {tuple(row) for row in warehouse.run_status().collect()} == {
         ("r1", "SUCCEEDED"), ("r2", "STARTED"), ("r3", "SUCCEEDED"), ("r4", "SUCCEEDED"),
@@ -138,7 +145,8 @@ def test_failed_load_changes_nothing(spark, tmp_path, monkeypatch):
 def test_crash_while_publishing_blocks_nothing(spark, tmp_path):
     root = str(tmp_path / "warehouse")
     load_batch(spark, batch(tmp_path / "one", line("E1", 1)), root, run_id="r1", now=DAY[0])
-    (tmp_path / "warehouse" / "published" / ".unfinished").write_text("{")
+    (tmp_path / "warehouse" / "commits" / ".part-unfinished.parquet").write_text("{")
+    (tmp_path / "warehouse" / "commits" / "_temporary" / "0").mkdir(parents=True)
     load_batch(spark, batch(tmp_path / "two", line("E2", 1)), root, run_id="r2", now=DAY[1])
     assert set(events(Warehouse(spark, root))) == {"E1", "E2"}
 
@@ -146,10 +154,11 @@ def test_crash_while_publishing_blocks_nothing(spark, tmp_path):
 def test_second_writer_is_refused(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
     seen_by_both = warehouse.state()
-    first = warehouse.publish(seen_by_both)
+    warehouse.publish(seen_by_both, "first", {"stores": [3]})
+    first = warehouse.state()
     with pytest.raises(RuntimeError, match="another load published"):
-        warehouse.publish(seen_by_both.put("stores", Folder("lost", 1)))
-    assert warehouse.state() == first
+        warehouse.publish(seen_by_both, "lost", {"stores": [3]})
+    assert warehouse.state() == first and first.of("stores") == {3: "first"}
 
 
 def test_violated_constraint_fails_the_load(spark, tmp_path, monkeypatch):
@@ -157,36 +166,78 @@ def test_violated_constraint_fails_the_load(spark, tmp_path, monkeypatch):
     monkeypatch.setitem(schemas.NOT_NULL, EVENTS, ("event_id", "technician_id"))
     with pytest.raises(ValueError, match="work_order_events.technician_id not null: 1"):
         load_batch(spark, batch(tmp_path / "one", line("E1", 1)), root, now=DAY[0])
-    assert Warehouse(spark, root).state().of(EVENTS) == ()
+    assert Warehouse(spark, root).state().of(EVENTS) == {}
 
 
-def test_settled_versions_are_those_of_merging_in_turn(spark):
+def test_histories_of_four_loads(spark):
     """Every history of four loads over two times and two payloads, against a loop."""
-    versions, expected = [], set()
-    for n, history in enumerate(product([None, (1, "a"), (1, "b"), (2, "a"), (2, "b")], repeat=4)):
-        kept = None
-        for load, version in enumerate(history):
-            if version is None:
-                continue
-            versions.append((f"E{n}", DAY[version[0]], version[1], DAY[load], DAY[load], load))
-            if kept is None:
-                kept = (*version, load, load)
-            elif version[0] > kept[0] or version[0] == kept[0] and version[1] != kept[1]:
-                kept = (*version, kept[2], load)
-        if kept:
-            expected.add((f"E{n}", *kept))
-    columns = "event_id string, updated_at_utc timestamp, payload_hash string, first_seen_at timestamp, last_seen_at timestamp, load_sequence int"
-    found = settle(spark.createDataFrame(versions, columns)).collect()
-    assert {(r.event_id, r.updated_at_utc.day - 1, r.payload_hash, r.first_seen_at.day - 1, r.last_seen_at.day - 1) for r in found} == expected
-    assert len(found) == len(expected)
-
-
-def test_folders_stay_few(spark, tmp_path):
+    columns = "event_id string, updated_at_utc timestamp, payload_hash string, first_seen_at timestamp, last_seen_at timestamp"
+    stored, expected = spark.createDataFrame([], columns), {}
+    histories = list(product([None, (1, "a"), (1, "b"), (2, "a"), (2, "b")], repeat=4))
+    for load in range(4):
+        given = []
+        for n, history in enumerate(histories):
+            if version := history[load]:
+                given.append((f"E{n}", DAY[version[0]], version[1]))
+                kept = expected.get(n)
+                if kept is None or version[0] > kept[0] or version[0] == kept[0] and version[1] != kept[1]:
+                    expected[n] = (*version, kept[2] if kept else load, load)
+        batch = spark.createDataFrame(given, "event_id string, updated_at_utc timestamp, payload_hash string")
+        changes = changed_events(stored, batch, F.lit(DAY[load]).cast("timestamp"))
+        rows = stored.join(changes, "event_id", "left_anti").unionByName(changes).collect()
+        stored = spark.createDataFrame(rows, columns)
+    found = [(r.event_id, r.updated_at_utc.day - 1, r.payload_hash, r.first_seen_at.day - 1, r.last_seen_at.day - 1) for r in rows]
+    assert sorted(found) == sorted((f"E{n}", *kept) for n, kept in expected.items())
+
+
+def spoil(root, name, keep):
+    """Make every file of the buckets not in ``keep`` unreadable; returns the files."""
+    spoiled = [f for f in (root / name).glob("bucket=*/load=*/*.parquet") if int(f.parts[-3].partition("=")[2]) not in keep]
+    for file in spoiled:
+        file.write_text("spoiled")
+    return spoiled
+
+
+def test_load_reads_and_writes_touched_buckets_only(spark, tmp_path):
+    root = str(tmp_path / "warehouse")
+    ids = [f"E{n}" for n in range(300)]
+    load_batch(spark, batch(tmp_path / "one", *[line(i, 1) for i in ids]), root, run_id="r1", now=DAY[0])
+    warehouse = Warehouse(spark, root)
+    before = warehouse.state()
+    assert set(before.of(EVENTS)) == buckets(spark, *ids) and len(before.of(EVENTS)) > 60
+    two = buckets(spark, "E1", "E2")
+    assert len(two) == 2
+    spoiled = spoil(tmp_path / "warehouse", EVENTS, two)
+    content = batch(tmp_path / "two", line("E1", 2, "CLOSED"), line("E2", 1, "CLOSED"), line("E3", 1))
+    three = two | buckets(spark, "E3")
+    with pytest.raises(Exception):  # E3 is compared with what its bucket holds
+        load_batch(spark, content, root, run_id="r2", now=DAY[1])
+    load_batch(spark, batch(tmp_path / "three", line("E1", 2, "CLOSED"), line("E2", 1, "CLOSED")), root, run_id="r3", now=DAY[1])
+    after = warehouse.state()
+    assert {b for b in after.of(EVENTS) if after.of(EVENTS)[b] != before.of(EVENTS)[b]} == two and three > two
+    # The references are as before, so nothing of them is written.
+    assert after.of("stores") == before.of("stores") and after.of("technicians") == before.of("technicians")
+    assert [(r.event_id, r.event_type, r.first_seen_at.day, r.last_seen_at.day) for r in warehouse.lookup(EVENTS, ["E1"]).collect()] == [("E1", "CLOSED", 1, 2)]
+    assert warehouse.lookup(EVENTS, []).count() == 0
+    assert all(file.read_text() == "spoiled" for file in spoiled)
+    # An older version changes nothing: its bucket is read and not written.
+    load_batch(spark, batch(tmp_path / "four", line("E1", 1, "ASSIGNED")), root, run_id="r4", now=DAY[2])
+    assert warehouse.state().of(EVENTS) == after.of(EVENTS)
+
+
+def test_partitions_stay_few(spark, tmp_path):
     root = str(tmp_path / "warehouse")
     for n in range(5):
         load_batch(spark, batch(tmp_path / f"b{n}", line(f"E{n}", 1), line("E0", n + 1)), root, run_id=f"r{n}", now=DAY[n])
     warehouse = Warehouse(spark, root)
-    assert all(len(warehouse.state().of(name)) <= 3 for name in (EVENTS, "rejected_records", "ingestion_runs"))
+    rows = lambda: {name: sorted(map(str, warehouse.table(name).collect())) for name in (EVENTS, REJECTS, "stores", "ingestion_runs")}
+    before = rows()
+    warehouse.compact()
+    assert len(warehouse.state().appended) == 1
+    assert set(warehouse.state().of(EVENTS)) == buckets(spark, *[f"E{n}" for n in range(5)])
+    # E0 was rewritten four times, the rejects of five loads were written together.
+    assert rows() == before and len(warehouse.vacuum()) == 4 + 5
+    assert rows() == before and warehouse.unlisted() == []
     assert warehouse.table("ingestion_runs").count() == 5
     assert {name: row[1:3] for name, row in events(warehouse).items()} == {
         "E0": (1, 5), **{f"E{n}": (n + 1, n + 1) for n in range(1, 5)}

@@ -2,29 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
-def settle(versions: DataFrame) -> DataFrame:
-    """One row per event, as merging the loads one after the other would have left it.
+def changed_events(stored: DataFrame, batch: DataFrame, seen_at: Column) -> DataFrame:
+    """Those events of a batch that change what is stored, as they are to be stored.
 
-    ``versions`` holds at most one row per event and ``load_sequence``. A later
-    load replaces the row if it is newer, or equally old with another payload:
-    of the newest versions, in order of their loads, the one that last changed
-    the payload is the row that stays. It is first seen when any version was.
+    A row replaces the stored one of its event if it is newer, or equally old with
+    another payload; an event that is not stored is new. Of the stored rows four
+    narrow columns are read.
     """
-    event, newest = Window.partitionBy("event_id"), Window.partitionBy("event_id", "updated_at_utc")
-    payload_before = F.lag("payload_hash").over(newest.orderBy("load_sequence"))
-    changes = payload_before.isNull() | (payload_before != F.col("payload_hash"))
-    marked = versions.withColumns(
-        {
-            "_newest": F.max("updated_at_utc").over(event),
-            "_first_seen": F.min("first_seen_at").over(event),
-            "_changed": F.when(changes, F.col("load_sequence")),
-        }
-    ).withColumn("_last_change", F.max("_changed").over(newest))
-    stays = (F.col("updated_at_utc") == F.col("_newest")) & (F.col("load_sequence") == F.col("_last_change"))
-    return marked.filter(stays).withColumn("first_seen_at", F.col("_first_seen")).select(*versions.columns)
+    old = stored.select(
+        "event_id",
+        F.col("updated_at_utc").alias("_updated"),
+        F.col("payload_hash").alias("_hash"),
+        F.col("first_seen_at").alias("_first_seen"),
+    )
+    joined = batch.join(old, "event_id", "left")
+    corrected = (F.col("updated_at_utc") == F.col("_updated")) & (F.col("payload_hash") != F.col("_hash"))
+    changes = F.col("_updated").isNull() | (F.col("updated_at_utc") > F.col("_updated")) | corrected
+    seen = {"first_seen_at": F.coalesce("_first_seen", seen_at), "last_seen_at": seen_at}
+    return joined.filter(changes).withColumns(seen).drop("_updated", "_hash", "_first_seen")
+
+
+def changed_rows(stored: DataFrame, given: DataFrame, key: str) -> DataFrame:
+    """Those given rows that are not stored as they are."""
+    names = [name for name in given.columns if name != key]
+    old = stored.select(key, *[F.col(name).alias(f"_{name}") for name in names], F.lit(True).alias("_stored"))
+    joined = given.join(old, key, "left")
+    same = F.col("_stored").isNotNull()
+    for name in names:
+        same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
+    return joined.filter(~same).select(*given.columns)
 
 
 def without(target: DataFrame, keys: DataFrame, key: str) -> DataFrame:

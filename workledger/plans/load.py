@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from workledger.operators.classify import accepted_events, classify, rejected_lines
 from workledger.operators.latest import latest_events
-from workledger.operators.merge import upsert
+from workledger.operators.merge import changed_events, changed_rows
 from workledger.plans.checks import constraint_violations
 from workledger.plans.stats import already_loaded, ingest_stats, ingestion_run_row
-from workledger.plans.warehouse import EVENTS, REJECTS, RUNS, TABLES, State, Warehouse
+from workledger.plans.warehouse import EVENTS, KEYS, REJECTS, RUNS, State, Warehouse
 from workledger.session import configure, materialize
 from workledger.sources.checksum import batch_checksum, line_digest
 from workledger.sources.lines import event_files, number_rows, scan_lines
@@ -144,11 +144,12 @@ def _load(
 ) -> str:
     spark = tables.spark
     seen_at = F.lit(now or datetime.now(timezone.utc)).cast("timestamp")
+    load, before, written = tables.new_load(state), state, {}
     stores, technicians = read_stores(spark, reference_dir), read_technicians(spark, reference_dir)
     for name, reference in (("stores", stores), ("technicians", technicians)):
-        key = TABLES[name].fieldNames()[0]
-        merged = upsert(tables.table(name, state), reference.clean, key)
-        state = state.put(name, tables.write(merged, name))
+        changes = changed_rows(tables.table(name, state), reference.clean, KEYS[name])
+        _, written[name] = tables.put(name, changes, state, load)
+        state = state.put(name, load, written[name])
     # The staged profile checks ids against all references loaded so far.
     known = [stores.clean, technicians.clean]
     if profile == "staged":
@@ -158,36 +159,26 @@ def _load(
     checksum = materialize(batch.checksum, "checksum")
     earlier = already_loaded(checksum, tables.table(RUNS, state)).first()
     if earlier is not None:
-        tables.publish(state)
+        if any(written.values()):
+            tables.publish(before, load, written)
         return earlier.run_id
     if recorded:
         raise ValueError(f"run {run_id} is recorded with other content")
 
-    events = batch.current.withColumns(
-        {
-            "raw_payload": F.parse_json("raw"),
-            "first_seen_at": seen_at,
-            "last_seen_at": seen_at,
-            "load_sequence": F.lit(state.sequence + 1).cast("long"),
-        }
-    )
-    written = {EVENTS: tables.write(events, EVENTS)}
-    stats = materialize(batch.stats(checksum, tables.rows(EVENTS, written[EVENTS])), "stats")
-    counts = stats.first()
-    written[REJECTS] = tables.write(reject_rows(batch.rejects, run_id, seen_at), REJECTS)
+    events, buckets = tables.touched(EVENTS, batch.current.withColumn("raw_payload", F.parse_json("raw")), state)
+    stored = tables.partitions(EVENTS, state, buckets)
+    changes, written[EVENTS] = tables.put(EVENTS, changed_events(stored, events.drop("bucket"), seen_at), state, load)
+    stats = materialize(batch.stats(checksum, events), "stats")
+    rejects = tables.append(REJECTS, reject_rows(batch.rejects, run_id, seen_at), load)
+    written[REJECTS] = []
     run = ingestion_run_row(stats, run_id, F.current_timestamp() if now is None else seen_at)
-    written[RUNS] = tables.write(run, RUNS)
 
-    # Events of other loads are settled with these by key, and run ids were looked up.
-    checked = constraint_violations(**{name: tables.rows(name, folder) for name, folder in written.items()})
+    # Other stored events have other keys, and run ids and checksums were looked up.
+    checked = constraint_violations(**{EVENTS: changes, REJECTS: rejects, RUNS: run})
     broken = checked.filter("violations > 0").collect()
     if broken:
         raise ValueError("; ".join(f"{r.table_name}.{r.column_name} {r.constraint_kind}: {r.violations}" for r in broken))
-
-    sizes = {EVENTS: counts.unique_valid_events, REJECTS: counts.rejected_records, RUNS: 1}
-    for name, folder in written.items():
-        state = tables.add(state, name, folder._replace(rows=sizes[name]))
-    tables.publish(state)
+    tables.publish(before, load, written, run)
     return run_id
 
 

@@ -1,30 +1,26 @@
-"""Parquet tables that change together.
-
-Every load writes its rows into new folders and then publishes, as one small
-file, the list of the folders that make up each table. Readers follow the newest
-list, so they see all tables as before a load or all as after it; folders of a
-failed load are in no list, and files are never changed.
-
-A load appends its events as versions and neither reads nor rewrites stored
-ones; what merging load after load would have left is settled when the table is
-read. Folders of like size are written together as they come, so a table has
-about as many folders as the logarithm of its loads, and a row is written again
-about that often. Once all folders of the events are written together, they are
-settled for good.
+"""Plain Parquet tables that change together.
+
+Tables that are upserted (events, stores, technicians) are partitioned by a bucket
+of the key's hash and by load. A load writes the buckets that it changes, whole,
+as new partitions; all other buckets are neither read nor written. So a table is
+read without settling anything, and a read for known keys touches their buckets only.
+Rejects are appended, partitioned by load.
+
+The audit row is written last and names the buckets of the load: from then on
+readers see them. What a failed load left is in no audit row; its load id never
+comes again. ``compact`` and ``vacuum`` are jobs to run now and then.
 """
 
 from __future__ import annotations
 
-import json
 import uuid
-from dataclasses import dataclass, replace
-from typing import NamedTuple
+from dataclasses import dataclass, field, replace
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from workledger import schemas
-from workledger.operators.merge import settle
+from workledger.session import materialize
 
 EVENTS = "work_order_events"
 REJECTS = "rejected_records"
@@ -36,118 +32,195 @@ TABLES = {
     "stores": schemas.STORES,
     "technicians": schemas.TECHNICIANS,
 }
-# Besides the columns of the table, stored events carry the number of their load.
-_STORED = TABLES | {EVENTS: T.StructType([*schemas.WORK_ORDER_EVENTS.fields, T.StructField("load_sequence", T.LongType())])}
-
-_MARKS = "run_id string, status string, marked_at timestamp"
-
+# The column whose hash gives the bucket; other tables are appended to.
+KEYS = {EVENTS: "event_id", "stores": "store_id", "technicians": "technician_id"}
 
-class Folder(NamedTuple):
-    """A folder of rows; ``rows`` counts them, for events before they are settled."""
+# Buckets of a new warehouse. A bucket is what a correction rewrites, so large
+# warehouses take more: at most as many as partitions one wants to list.
+BUCKETS = 64
 
-    name: str
-    rows: int
+_MARKS = "run_id string, status string, marked_at timestamp"
+# The audit row, and what the load wrote: per table its buckets. ``replaced`` holds loads that a compaction stands for.
+_COMMITS = T.StructType(
+    [
+        *schemas.INGESTION_RUNS.fields,
+        T.StructField("kind", T.StringType()),
+        T.StructField("sequence", T.LongType()),
+        T.StructField("load", T.StringType()),
+        T.StructField("buckets", T.IntegerType()),
+        T.StructField("written", T.MapType(T.StringType(), T.ArrayType(T.IntegerType()))),
+        T.StructField("replaced", T.ArrayType(T.StringType())),
+    ]
+)
 
 
 @dataclass(frozen=True)
 class State:
-    """One published list: the folders of each table, oldest first."""
+    """What readers see: of keyed tables the load of every bucket, of rejects all loads."""
 
-    sequence: int
-    folders: dict[str, tuple[Folder, ...]]
+    sequence: int = 0
+    buckets: int = BUCKETS
+    live: dict[str, dict[int, str]] = field(default_factory=dict)
+    appended: tuple[str, ...] = ()
 
-    def of(self, table: str) -> tuple[Folder, ...]:
-        return self.folders.get(table, ())
+    def of(self, table: str) -> dict[int, str]:
+        return self.live.get(table, {})
 
-    def put(self, table: str, *folders: Folder) -> State:
-        return replace(self, folders={**self.folders, table: folders})
+    def put(self, table: str, load: str, buckets: list[int]) -> State:
+        return replace(self, live={**self.live, table: {**self.of(table), **dict.fromkeys(buckets, load)}})
+
+
+def bucket_of(key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
+        """``buckets`` counts for a new warehouse; later loads keep what the first one had."""
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
 
-    # --- the list of folders ---
-
-    def _path(self, name: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+    # --- what is visible ---
 
-    def state(self) -> State:
-        """The newest list; unfinished ones have hidden names."""
-        published = self._path("published")
-        files = published.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not files.exists(published):
-            return State(0, {})
-        names = [status.getPath().getName() for status in files.listStatus(published)]
-        newest = max((name for name in names if name.endswith(".json") and name[0] != "."), default=None)
-        if newest is None:
-            return State(0, {})
-        content = json.loads(self.spark.read.text(f"{self.root}/published/{newest}", wholetext=True).first()[0])
-        folders = {table: tuple(Folder(*folder) for folder in listed) for table, listed in content["folders"].items()}
-        return State(content["sequence"], folders)
-
-    def publish(self, state: State) -> State:
-        """Make ``state`` current. Fails if another load published meanwhile.
-
-        The list is written under a hidden name of its own and then renamed,
-        which fails if the number is taken; a crash before that leaves nothing
-        that a reader or a later load would meet.
-        """
-        following = replace(state, sequence=state.sequence + 1)
-        content = json.dumps({"sequence": following.sequence, "folders": following.folders})
-        waiting = self._path(f"published/.{uuid.uuid4().hex}")
-        settings = self.spark._jsc.hadoopConfiguration()
-        stream = waiting.getFileSystem(settings).create(waiting, False)
-        stream.write(bytearray(content.encode()))
-        stream.close()
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        no_options = self.spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 0)
+    def commits(self) -> DataFrame:
         try:
-            hadoop.FileContext.getFileContext(waiting.toUri(), settings).rename(
-                waiting, self._path(f"published/{following.sequence:012}.json"), no_options
-            )
-        except Py4JJavaError as failed:
-            if "FileAlreadyExistsException" not in str(failed.java_exception):
+            return self.spark.read.schema(_COMMITS).parquet(f"{self.root}/commits")
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
-            raise RuntimeError("another load published meanwhile") from failed
-        return following
+            return self.spark.createDataFrame([], _COMMITS)
 
-    # --- tables ---
+    def state(self) -> State:
+        """The loads that are visible now: a row per bucket and one per load with rejects come to the driver."""
+        commits = self.commits()
+        last = commits.agg(F.max("sequence").alias("sequence"), F.max("buckets").alias("buckets")).first()
+        if last.sequence is None:
+            return State(buckets=self.buckets)
+        written = commits.select("sequence", "load", F.explode("written").alias("table", "of"))
+        newest = written.select("*", F.explode("of").alias("bucket")).groupBy("table", "bucket").agg(F.max_by("load", "sequence").alias("load"))
+        live: dict[str, dict[int, str]] = {}
+        for row in newest.collect():
+            live.setdefault(row.table, {})[row.bucket] = row.load
+        gone = commits.select(F.explode("replaced").alias("load"))
+        appended = written.filter(F.col("table") == REJECTS).join(gone, "load", "left_anti").sort("sequence").collect()
+        return State(last.sequence, last.buckets, live, tuple(row.load for row in appended))
+
+    def publish(self, state: State, load: str, written: dict[str, list[int]], run: DataFrame | None = None, replaced: list[str] | None = None) -> None:
+        """Make the load visible, by one row. Fails if another load published since ``state`` was read."""
+        if self.state().sequence != state.sequence:
+            raise RuntimeError("another load published meanwhile")
+        if run is None:
+            run = self.spark.createDataFrame([(None,) * len(schemas.INGESTION_RUNS)], schemas.INGESTION_RUNS)
+            kind = "REFRESH" if replaced is None else "COMPACT"
+        else:
+            kind = "RUN"
+        # The names are a few, the buckets as many as the warehouse has.
+        tables = self.spark.createDataFrame([(written, replaced or [])], T.StructType(_COMMITS.fields[-2:]))
+        row = run.crossJoin(tables).withColumns(
+            {
+                "kind": F.lit(kind),
+                "sequence": F.lit(state.sequence + 1).cast("long"),
+                "load": F.lit(load),
+                "buckets": F.lit(state.buckets).cast("int"),
+            }
+        )
+        row.select(*_COMMITS.fieldNames()).coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
 
-    def rows(self, name: str, *folders: Folder) -> DataFrame:
-        """Stored rows of some folders; of events all versions."""
-        paths = [f"{self.root}/{name}/{folder.name}" for folder in folders]
-        return self.spark.read.schema(_STORED[name]).parquet(*paths)
+    # --- tables ---
 
     def table(self, name: str, state: State | None = None) -> DataFrame:
-        folders = (state or self.state()).of(name)
-        if not folders:
-            return self.spark.createDataFrame([], TABLES[name])
-        rows = self.rows(name, *folders)
-        # The events of one folder alone are one row each.
-        rows = settle(rows) if name == EVENTS and len(folders) > 1 else rows
-        return rows.select(*TABLES[name].fieldNames())
-
-    def write(self, df: DataFrame, name: str, rows: int = 0) -> Folder:
-        """Write rows of a table into a folder of their own."""
-        folder = Folder(uuid.uuid4().hex, rows)
-        df.select(*_STORED[name].fieldNames()).write.parquet(f"{self.root}/{name}/{folder.name}")
-        return folder
-
-    def add(self, state: State, name: str, folder: Folder) -> State:
-        """List one more folder, written together with those before it that are not larger."""
-        if not folder.rows:
-            return state
-        folders = [*state.of(name), folder]
-        together = folders[-1:]
-        while len(together) < len(folders) and folders[-len(together) - 1].rows <= sum(f.rows for f in together):
-            together = folders[-len(together) - 1 :]
-        if len(together) > 1:
-            kept, rows = folders[: -len(together)], self.rows(name, *together)
-            rows = settle(rows) if name == EVENTS and not kept else rows
-            folders = [*kept, self.write(rows, name, sum(f.rows for f in together))]
-        return state.put(name, *folders)
+        if name == RUNS:
+            return self.commits().filter("kind = 'RUN'").select(*TABLES[name].fieldNames())
+        return self.partitions(name, state or self.state()).select(*TABLES[name].fieldNames())
+
+    def partitions(self, name: str, state: State, buckets: list[int] | None = None) -> DataFrame:
+        """Visible rows with their partition columns; of keyed tables those of ``buckets``, if given."""
+        if name in KEYS:
+            live = state.of(name)
+            wanted = sorted(live if buckets is None else live.keys() & set(buckets))
+            return self._read(name, [f"bucket={bucket}/load={live[bucket]}" for bucket in wanted])
+        return self._read(name, [f"load={load}" for load in state.appended])
+
+    def _read(self, name: str, places: list[str]) -> DataFrame:
+        schema = T.StructType([*TABLES[name].fields, *([T.StructField("bucket", T.IntegerType())] if name in KEYS else []), T.StructField("load", T.StringType())])
+        if not places:
+            return self.spark.createDataFrame([], schema)
+        base = f"{self.root}/{name}"
+        return self.spark.read.schema(schema).option("basePath", base).parquet(*[f"{base}/{place}" for place in places])
+
+    def lookup(self, name: str, keys: list, state: State | None = None) -> DataFrame:
+        """The rows of a few keys, read from their buckets alone."""
+        state, key = state or self.state(), F.col(KEYS[name])
+        rows = self.partitions(name, state)
+        in_bucket = F.col("bucket").isin(*[bucket_of(F.lit(k), state.buckets) for k in keys]) if keys else F.lit(False)
+        return rows.filter(in_bucket & key.isin(*keys)).select(*TABLES[name].fieldNames())
+
+    def new_load(self, state: State) -> str:
+        return f"{state.sequence + 1:09}-{uuid.uuid4().hex[:12]}"
+
+    def touched(self, name: str, rows: DataFrame, state: State) -> tuple[DataFrame, list[int]]:
+        """The rows, written with their ``bucket``, and the buckets they are in."""
+        placed = materialize(rows.withColumn("bucket", bucket_of(F.col(KEYS[name]), state.buckets)), name)
+        return placed, sorted(row.bucket for row in placed.select("bucket").distinct().collect())
+
+    def put(self, name: str, changes: DataFrame, state: State, load: str) -> tuple[DataFrame, list[int]]:
+        """Write the buckets that ``changes`` touch anew: the stored rows, less those of the same keys, and the changes.
+
+        Returns the changes as written and the buckets. Nothing is written where nothing changes.
+        """
+        placed, buckets = self.touched(name, changes, state)
+        if buckets:
+            key, names = KEYS[name], [*TABLES[name].fieldNames(), "bucket"]
+            stored = self.partitions(name, state, buckets).select(*names)
+            kept = stored.join(placed.select("bucket", key), ["bucket", key], "left_anti")
+            self._write(kept.select(*names).unionByName(placed.select(*names)), name, load, "bucket")
+        return placed, buckets
+
+    def append(self, name: str, rows: DataFrame, load: str) -> DataFrame:
+        self._write(rows.select(*TABLES[name].fieldNames()), name, load)
+        return self._read(name, [f"load={load}"]).select(*TABLES[name].fieldNames())
+
+    def _write(self, rows: DataFrame, name: str, load: str, *by: str) -> None:
+        # Rows of a bucket come together, and a large bucket is split again by size.
+        rows = rows.hint("rebalance", *[F.col(c) for c in by])
+        rows.withColumn("load", F.lit(load)).write.mode("append").partitionBy(*by, "load").parquet(f"{self.root}/{name}")
+
+    # --- upkeep ---
+
+    def compact(self) -> None:
+        """Write the rejects of all loads together, so that their folders stay few."""
+        state = self.state()
+        if len(state.appended) > 1:
+            load = self.new_load(state)
+            self.append(REJECTS, self.table(REJECTS, state), load)
+            self.publish(state, load, {REJECTS: []}, replaced=list(state.appended))
+
+    def unlisted(self) -> list[str]:
+        """Partitions that readers do not see: replaced ones and those of failed loads."""
+        state, files = self.state(), self._files()
+        seen = {f"{name}/bucket={b}/load={load}" for name, live in state.live.items() for b, load in live.items()}
+        seen |= {f"{REJECTS}/load={load}" for load in state.appended}
+        found = []
+        for name in TABLES:
+            pattern = f"{name}/bucket=*/load=*" if name in KEYS else f"{name}/load=*"
+            for status in files.globStatus(self._path(pattern)) or []:
+                place = status.getPath().toString()
+                found.append(place[place.rindex(f"/{name}/") + 1 :])
+        return sorted(set(found) - seen)
+
+    def vacuum(self) -> list[str]:
+        """Delete the unlisted partitions, at a time without loads and without readers of older states; returns them."""
+        unlisted, files = self.unlisted(), self._files()
+        for place in unlisted:
+            files.delete(self._path(place), True)
+        return unlisted
+
+    def _path(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+
+    def _files(self):
+        return self._path("commits").getFileSystem(self.spark._jsc.hadoopConfiguration())
 
     # --- runs ---
 
