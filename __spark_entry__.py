@@ -98,7 +98,7 @@ def _normalized_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _payload_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = normalize(inputs.event_lines(spark, sf_dir))
-    hashed = F.when(F.col("_valid"), js.payload_hash(F.col("_doc")))
+    hashed = F.when(F.col("_valid"), js.payload_hash(F.col("_doc"), F.col("raw")))
     return parsed.select("source_file", "source_row_number", hashed.alias("payload_hash"))
 
 

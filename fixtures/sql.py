@@ -48,6 +48,9 @@ select 'work_order_events_0' || cast(1 + event_id % 3 as string) || '.jsonl' as
         else cast(k as string) end || '},'
     || '"location":{"region":"R1","store_id":"S'
         || case when f = 9 then '-1' else cast(user_id as string) end || '"},'
+    || case when f between 12 and 19 then '"meter":' || case f when 12 then '1e1' when 13 then '10.0' when 14 then '10'
+        when 15 then '[1.0,1]' when 16 then '[1,1.0]' when 17 then '1000E-2' when 18 then '"1e1"'
+        else '123456789012345678901234567890123456789012' end || ',' else '' end
     || '"priority":"' || case when f = 10 then 'P9' else 'p' || cast(1 + k % 4 as string) end || '",'
     || '"technician":{"id":"T' || case when f = 11 then '-1' else cast(k % 40 as string) end || '"},'
     || '"updated_at":"'
@@ -56,6 +59,14 @@ select 'work_order_events_0' || cast(1 + event_id % 3 as string) || '.jsonl' as
     end as raw
 from """ + _NUMBERED
 
+# The canonical text of a line: floats as their doubles print.
+CANONICAL = """replace(replace(raw, '"meter":1e1', '"meter":10.0'), '"meter":1000E-2', '"meter":10.0')"""
+
+# How a stored payload prints: as a variant, which keeps no fraction of zero
+# and no more than 38 digits.
+STORED = """replace(replace(replace(replace(replace(raw, '"meter":10.0', '"meter":10'), '"meter":1e1', '"meter":10.0'),
+    '"meter":1000E-2', '"meter":10.0'), '1.0', '1'), '123456789012345678901234567890123456789012', '1.2345678901234568E41')"""
+
 # Rows of the store file: some without key or with a bad flag, some repeating
 # the key of the row before or after, some padded, in need of quotes or of two lines.
 STORE_ROWS = """

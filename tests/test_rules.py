@@ -161,6 +161,24 @@ def test_hash_tells_whole_floats_from_integers(spark):
     assert len({r.payload_hash for r in judge(spark, spelled)}) == 1
 
 
+def test_hash_follows_values(spark):
+    """Payloads hash alike exactly if Python reads the same values and kinds of numbers."""
+    whole = "9" * 45
+    values = [
+        "1e1", "10.0", "10", "1000E-2", "10.00", "-0", "0", "-0.0", "0.0", "1.5", "15e-1", "[1.0,1]", "[1,1.0]", "[1, 1.0]", '"1e1"', '"10.0"',
+        whole, whole[:-1] + "8", "1e400", "[1.5,\"a\\\"1.0,\"]", "[1.5,\"a\\u00221.0,\"]", "[1.5,\"a\\\\\"]", "[1.5,\"a\\u005c\"]",
+        '{"b":1.0,"a":2}', '{"a":2,"b":1.0}', '{"a":2,"b":1}', '{"a":1.0,"a":2.0}', '{"a":2.0}', '[{"s":1.0},"n10"]', "123456789.123456789", "\"x 1.5 \\n\"",
+        '"x 1.5 \\u000a"', '"x \\u0031.5 \\n"', "[true,false,null,1.0]", "[true,false,null,1]", "[1.0," + ",".join(['"\\\\\\""'] * 3000) + "]",
+    ]
+    lines = [event().replace('"event_id"', '"cost": %s, "event_id"' % v, 1) for v in values]
+    hashes = [r.payload_hash for r in judge(spark, lines)]
+    read = [repr(json.loads(line)["cost"]) if not v.startswith("{") else json.dumps(json.loads(line)["cost"], sort_keys=True) for v, line in zip(values, lines, strict=True)]
+    read = [{"inf": "Infinity"}.get(r, r) for r in read]
+    assert None not in hashes
+    pairs = {(h, r) for h, r in zip(hashes, read, strict=True)}
+    assert len(pairs) == len(set(hashes)) == len(set(read))
+
+
 def test_hash_ignores_formatting_and_keeps_last_repeated_key(spark):
     record = json.loads(event())
     spaced = json.dumps(record, indent=None, separators=(" , ", " : "))
@@ -203,6 +221,13 @@ TIMES = [
     "20260101", "20260101T050607", "20260101T0506Z", "2026-01-01x05:00", "2026-01-01T05:00:00+05:30:15",
     "2026-13-01", "2026-02-30", "2026-01-01T25:00:00", "2026-01-01T00:60:00", "2026", "T12:00:00", "2026-1-1",
     "12026-01-01", "0000-01-01", "garbage", "", "2026-01-01T", "2026-01-01T05:00:00z", "2026-0101", "2026-01-01T0500:00",
+    # Weeks, and offsets of up to a day.
+    "2026-W01-1", "2026W011", "2026-W01", "2026W01", "2026-W53-7", "2025-W53-1", "2020W537", "0001-W01-1", "9999-W52-7",
+    "2026-W01-1T05:00", "2026W011T0500+19", "2026-W01T05", "2026-W01-05", "2026W01112:30", "2026W0112", "2026W011T",
+    "2026-W01-0", "2026-W01-8", "2026-W00-1", "2026-W54-1", "0000-W01-1", "2026-W1-1", "2026-W01-1x05:30Z",
+    "2026-W01 05:00:00.5-23:59", "2026-W01-", "2020-W53-7T23:59:59,9", "2026-01-01T05:00:00+19:00", "2026-01-01T05:00:00-18:30",
+    "2026-01-01T05:00:00+23:59:59.999999", "2026-01-01T05:00:00+24:00", "2026-01-01T05:00:00+05:99", "2026-01-01T05:00:00+23:60",
+    "2026-01-01T05:00:00+05:3015", "2026-01-01T05:00:00-00:00", "2026-01-01T24:00:00",
 ]
 
 

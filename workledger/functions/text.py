@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 # The characters Unicode counts as white space, plus the four
@@ -13,16 +15,22 @@ WHITE_SPACE = (
 )
 
 # What nearly all feeds send; parsed directly.
-_PLAIN = r"^(?!0000)\d{4}-\d\d-\d\d[T ]\d\d:\d\d:\d\d(\.\d{1,6})?([+-]\d\d:\d\d)?$"
+_PLAIN = r"^(?!0000)\d{4}-\d\d-\d\d[T ]\d\d:\d\d:\d\d(\.\d{1,6})?([+-](0\d|1[0-7]):[0-5]\d)?$"
 
 # The other ISO 8601 calendar forms: compact digits, any separator between date
-# and time, missing minutes or seconds, comma or long fractions, short offsets.
+# and time, missing minutes or seconds, comma or long fractions, short or long offsets.
 _ISO = (
     r"(?s)^(?!0000)(\d{4})(-?)(\d\d)\2(\d\d)"
     r"(?:.(\d\d)(?:(:?)(\d\d)(?:\6(\d\d)(?:[.,](\d+))?)?)?"
-    r"([+-]\d\d(?::?\d\d(?::?\d\d)?)?)?)?$"
+    r"(?:([+-])(\d\d)(?:(:?)(\d\d)(?:\12(\d\d)(?:[.,](\d+))?)?)?)?)?$"
 )
 
+# A year, a week and perhaps its day, in front of whatever follows a date. Digits that
+# follow a compact week begin with the day if they are one, or an even number.
+_WEEK = r"(?s)^(?!0000)(\d{4})(?:-W(\d\d)(?:-(\d)(?!\d))?|W(\d\d)(?:(\d)(?=(?:\d(?:\d\d)*)?(?:\D|$)))?)(.*)$"
+
+_DAY = 86_400
+
 
 def stripped(text: Column) -> Column:
     """Remove white space of any kind from both ends."""
@@ -36,27 +44,48 @@ def is_blank(text: Column) -> Column:
 def iso_timestamp(text: Column) -> Column:
     """The instant an ISO 8601 text names, or NULL; no offset means UTC."""
     zoned = F.replace(text, F.lit("Z"), F.lit("+00:00"))
-    return F.when(zoned.rlike(_PLAIN), F.try_to_timestamp(zoned)).otherwise(
-        F.try_to_timestamp(_spelled_out(zoned))
-    )
+    other = _once(zoned, lambda t: F.when(t.rlike(_WEEK), _with_calendar_date(t)).otherwise(t))
+    return F.when(zoned.rlike(_PLAIN), F.try_to_timestamp(zoned)).otherwise(_once(other, _spelled_out))
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, and kept out of the generated code, for what is rarely needed."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _number(text: Column) -> Column:
+    return text.try_cast("int")
+
+
+def _with_calendar_date(text: Column) -> Column:
+    """A text that begins with a year, week and day, with the date they name; NULL if the year has no such week."""
+
+    def part(*indexes: int) -> Column:
+        return F.coalesce(*[F.nullif(F.regexp_extract(text, _WEEK, index), F.lit("")) for index in indexes])
+
+    year, week, day = _number(part(1)), _number(part(2, 4)), F.coalesce(_number(part(3, 5)), F.lit(1))
+    # The fourth of January is in the first week, the 28th of December in the last one.
+    fourth = F.make_date(year, F.lit(1), F.lit(4))
+    weeks = F.weekofyear(F.make_date(year, F.lit(12), F.lit(28)))
+    date = F.date_add(fourth, 7 * (week - 1) + day - 1 - F.weekday(fourth))
+    named = week.between(1, weeks) & day.between(1, 7)
+    return F.when(named, F.concat(F.date_format(date, "yyyy-MM-dd"), F.regexp_extract(text, _WEEK, 6)))
 
 
 def _spelled_out(text: Column) -> Column:
-    """Rewrite any accepted ISO form as ``yyyy-MM-ddTHH:mm:ss.ffffff+HH:mm:ss``."""
-
-    def part(index: int) -> Column:
-        return F.regexp_extract(text, _ISO, index)
-
-    # Missing parts are empty: padding with zeros fills in their default. Padding
-    # also cuts a longer fraction to microseconds.
-    def two_digits(index: int) -> Column:
-        return F.rpad(part(index), 2, "0")
-
-    sign_and_digits = F.greatest(F.replace(part(10), F.lit(":"), F.lit("")), F.lit("+"))
-    offset = F.regexp_replace(F.rpad(sign_and_digits, 7, "0"), "^(...)(..)(..)$", "$1:$2:$3")
-    full = F.concat(
-        *(part(1), F.lit("-"), part(3), F.lit("-"), part(4), F.lit("T")),
-        *(two_digits(5), F.lit(":"), two_digits(7), F.lit(":"), two_digits(8)),
-        *(F.lit("."), F.rpad(part(9), 6, "0"), offset),
-    )
-    return F.when(text.rlike(_ISO), full)
+    """The instant of any accepted form, read as ``yyyy-MM-ddTHH:mm:ss.ffffff`` and moved by its offset.
+
+    Missing parts are empty: padding with zeros fills in their default. Padding
+    also cuts a longer fraction to microseconds. An offset is below a day.
+    """
+
+    def part(index: int, digits: int = 2) -> Column:
+        return F.rpad(F.regexp_extract(text, _ISO, index), digits, "0")
+
+    day = F.concat(part(1, 4), F.lit("-"), part(3), F.lit("-"), part(4))
+    time = F.concat(part(5), F.lit(":"), part(7), F.lit(":"), part(8), F.lit("."), part(9, 6))
+    local = F.try_to_timestamp(F.concat(day, F.lit("T"), time, F.lit("+00:00")))
+    seconds = _number(part(11)) * 3600 + _number(part(13)) * 60 + _number(part(14))
+    offset = seconds.cast("long") * 1_000_000 + _number(part(15, 6))
+    moved = F.when(F.regexp_extract(text, _ISO, 10) == "-", offset).otherwise(-offset)
+    return F.when(text.rlike(_ISO) & (seconds < _DAY), F.timestamp_micros(F.unix_micros(local) + moved))

@@ -227,7 +227,7 @@ def classify(
     judged = events.withColumn("reject_reason", F.coalesce(*reasons))
     accepted = F.col("reject_reason").isNull()
     values = {name: F.col(name) for name in schemas.EVENT_COLUMNS if name != "payload_hash"}
-    values["payload_hash"] = js.payload_hash(F.col("_doc"))
+    values["payload_hash"] = js.payload_hash(F.col("_doc"), F.col("raw"))
     return judged.select(
         *lines.columns,
         *(F.when(accepted, column).alias(name) for name, column in values.items()),

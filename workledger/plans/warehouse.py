@@ -74,6 +74,11 @@ def bucket_of(key: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
+def buckets_of(table: str, buckets: int) -> int:
+    """Stores and technicians are a small part of the events, and so are their buckets."""
+    return buckets if table == EVENTS else -(-buckets // 16)
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
         """``buckets`` counts for a new warehouse; later loads keep what the first one had."""
@@ -153,7 +158,8 @@ class Warehouse:
         """The rows of a few keys, read from their buckets alone."""
         state, key = state or self.state(), F.col(KEYS[name])
         rows = self.partitions(name, state)
-        in_bucket = F.col("bucket").isin(*[bucket_of(F.lit(k), state.buckets) for k in keys]) if keys else F.lit(False)
+        count = buckets_of(name, state.buckets)
+        in_bucket = F.col("bucket").isin(*[bucket_of(F.lit(k), count) for k in keys]) if keys else F.lit(False)
         return rows.filter(in_bucket & key.isin(*keys)).select(*TABLES[name].fieldNames())
 
     def new_load(self, state: State) -> str:
@@ -161,7 +167,7 @@ class Warehouse:
 
     def touched(self, name: str, rows: DataFrame, state: State) -> tuple[DataFrame, list[int]]:
         """The rows, written with their ``bucket``, and the buckets they are in."""
-        placed = materialize(rows.withColumn("bucket", bucket_of(F.col(KEYS[name]), state.buckets)), name)
+        placed = materialize(rows.withColumn("bucket", bucket_of(F.col(KEYS[name]), buckets_of(name, state.buckets))), name)
         return placed, sorted(row.bucket for row in placed.select("bucket").distinct().collect())
 
     def put(self, name: str, changes: DataFrame, state: State, load: str) -> tuple[DataFrame, list[int]]:
