@@ -1,11 +1,15 @@
 """Line numbers over many splits, reference files, the batch checksum."""
 
+import csv
+import io
+
 import pytest
 from pyspark.sql import functions as F
 
 from workledger.session import materialize
 from workledger.sources.checksum import batch_checksum, line_digest
 from workledger.sources.lines import number_rows, scan_lines
+from workledger.sources import records, references
 from workledger.sources.references import read_stores, read_technicians
 
 
@@ -98,3 +102,54 @@ def test_checksum_depends_on_content_and_not_on_layout(spark):
         rows + [("b", 2, "")],
     ]
     assert len({checksum(rows), *(checksum(other) for other in others)}) == 5
+
+
+NASTY = (
+    'store_id,region,flag\nS1,"a\nb",c\nS2,"x ""q""\n\n\ny",z\n\nS3,plain,5" pipe\r\nS4,"full","q,\nr"\nS5\nS6,"",\nS7,"",""\nS8,"1,""\n"\n',
+    'store_id,"re\ngion",flag\r\n1,"a\r\nb",2\r\n3,4,"5\n"\n"6\n7",,\n8,9,x',
+    "store_id,region,flag\n",
+)
+
+
+def read_by_python(text):
+    rows = [row for row in csv.reader(io.StringIO(text, newline="")) if row]
+    return [(n, *[*row, "", ""][:3]) for n, row in enumerate(rows[1:], 2)]
+
+
+@pytest.mark.parametrize("split", [7, 1000])
+def test_reference_files_by_splits(spark, tmp_path, monkeypatch, split):
+    """Every border of a split meets a quoted break, a quote or a record's end in one of the files."""
+    write = records.materialize
+
+    def write_scan(df, label):  # only the scan of the text is split
+        if label == "lines":
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+            spark.conf.set("spark.sql.files.openCostInBytes", "0")
+            try:
+                df = df.select("*")
+                assert split == 1000 or df.rdd.getNumPartitions() > 3
+                return write(df, label)
+            finally:
+                spark.conf.unset("spark.sql.files.maxPartitionBytes")
+                spark.conf.unset("spark.sql.files.openCostInBytes")
+        return write(df, label)
+
+    monkeypatch.setattr(records, "materialize", write_scan)
+    for n, text in enumerate(NASTY):
+        for shift in range(2 if split < 1000 else 1):
+            folder = tmp_path / f"{n}-{shift}"
+            folder.mkdir()
+            text = text.replace("plain", "plain" + "x" * shift).replace("1,", "1" * (1 + shift) + ",", 1)
+            (folder / "stores.csv").write_bytes(text.encode())
+            rows = references.scan_reference(spark, str(folder), "stores.csv", "store_id").collect()
+            assert sorted((r.source_row_number, *[v or "" for v in r[:3]]) for r in rows) == read_by_python(text)
+
+
+def test_reference_parts_are_numbered_on(spark, tmp_path):
+    folder = tmp_path / "stores.csv"
+    folder.mkdir()
+    for n, rows in enumerate(['S1,"a\n\nb"\nS2,b\n', "", "S3,c\n\nS4,d\n"]):
+        (folder / f"part-0000{n}.csv").write_text("store_id,region\n" + rows)
+    rows = references.scan_reference(spark, str(tmp_path), "stores.csv", "store_id").collect()
+    found = sorted((r.source_row_number, r.store_id, r.region, r.source_file) for r in rows)
+    assert found == [(2, "S1", "a\n\nb", "stores.csv"), (3, "S2", "b", "stores.csv"), (4, "S3", "c", "stores.csv"), (5, "S4", "d", "stores.csv")]

@@ -10,7 +10,7 @@ from workledger import schemas
 from workledger.functions.text import is_blank, stripped
 from workledger.operators.latest import latest_by
 from workledger.session import materialize
-from workledger.sources.lines import number_rows, with_place, with_running_id
+from workledger.sources.records import scan_records
 
 
 @dataclass(frozen=True)
@@ -24,14 +24,17 @@ class Reference:
 
 def scan_reference(spark: SparkSession, source_dir: str, file_name: str, key: str) -> DataFrame:
     """CSV rows as strings with their row number; the header is row 1."""
-    # An empty field is an empty text; NULL is left to rows that are too short. A quoted
-    # line break belongs to its field, so a file is read by one task: these are dimensions.
-    options = {"header": True, "quote": '"', "escape": '"', "nullValue": "\0", "multiLine": True}
-    rows = spark.read.options(**options).csv(f"{source_dir.rstrip('/')}/{file_name}")
-    if key not in rows.columns:
+    # Fields without anything between the commas are NULL, like those a row is too short for.
+    options = {"quote": '"', "escape": '"', "nullValue": "\0"}
+    path = f"{source_dir.rstrip('/')}/{file_name}"
+    # Of the first file, the header alone is read here.
+    names = spark.read.options(header=True, multiLine=True, **options).csv(path).columns
+    if key not in names:
         raise ValueError(f"{file_name} is missing required column {key}")
-    placed = with_running_id(with_place(rows, file_name))
-    return number_rows(materialize(placed, "reference"), first=2)
+    schema = ", ".join(f"`{name.replace('`', '``')}` string" for name in names)
+    parsed = F.from_csv("record", F.lit(schema), {**options, "multiLine": "true", "maxCharsPerColumn": "-1"})
+    records = scan_records(spark, path, file_name).withColumn("_row", parsed)
+    return materialize(records.select("_row.*", "source_file", "source_row_number"), "reference")
 
 
 def split_reference(rows: DataFrame, schema: T.StructType) -> Reference:
