@@ -25,9 +25,15 @@ from workledger.operators.latest import latest_event_per_work_order, latest_even
 from workledger.operators.merge import merge_latest, upsert  # noqa: E402
 from workledger.plans import marts  # noqa: E402
 from workledger.plans.checks import constraint_violations  # noqa: E402
-from workledger.plans.load import dry_run, load_batch, reject_rows, replay_rejects  # noqa: E402
+from workledger.plans.load import (  # noqa: E402
+    dry_run,
+    load_batch,
+    load_replay,
+    reject_rows,
+    replay_rejects,
+)
 from workledger.plans.stats import already_loaded, ingest_stats, ingestion_run_row  # noqa: E402
-from workledger.plans.views import register_views  # noqa: E402
+from workledger.plans.views import create_views, register_views  # noqa: E402
 from workledger.plans.warehouse import Warehouse  # noqa: E402
 from workledger.schemas import EVENT_COLUMNS  # noqa: E402
 from workledger.session import configure, fresh_folder, materialize  # noqa: E402
@@ -252,7 +258,10 @@ def _load_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, rest = inputs.FILES[:1], inputs.FILES[1:]
     load_batch(spark, inputs.landed(spark, sf_dir, first), root, run_id="run-1", now=FIRST_LOAD)
     load_batch(spark, inputs.landed(spark, sf_dir, rest), root, run_id="run-2", now=SECOND_LOAD)
-    events = Warehouse(spark, root).table("work_order_events")
+    return _numbered_loads(Warehouse(spark, root).table("work_order_events"))
+
+
+def _numbered_loads(events: DataFrame) -> DataFrame:
     load_number = {name: 1 + F.datediff(name, F.lit(FIRST_LOAD.date())) for name in ("first_seen_at", "last_seen_at")}
     return events.withColumns(load_number).select(
         "event_id", "work_order_id", "event_type", "updated_at_utc", "payload_hash", "labor_minutes",
@@ -291,6 +300,25 @@ def _stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _views_follow_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = fresh_folder(configure(spark), "warehouse")
+    create_views(Warehouse(spark, root))
+    for n, files in enumerate((inputs.FILES[:1], inputs.FILES[1:])):
+        load_batch(spark, inputs.landed(spark, sf_dir, files), root, run_id=f"run-{n}", now=(FIRST_LOAD, SECOND_LOAD)[n])
+    # Made before the loads; read now, as temporary views belong to the session.
+    return materialize(spark.sql("SELECT * FROM work_order_summary"), "summary")
+
+
+def _replay_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = fresh_folder(configure(spark), "warehouse")
+    load_batch(spark, inputs.landed(spark, sf_dir), root, run_id="run-1", now=FIRST_LOAD)
+    named = F.try_variant_get(F.try_parse_json("raw"), "$.location.store_id", "string")
+    stores = inputs.event_lines(spark, sf_dir).select(named.alias("store_id")).distinct()
+    for run in ("replay-1", "replay-2"):
+        load_replay(spark, root, stores, run_id=run, now=SECOND_LOAD)
+    return _numbered_loads(Warehouse(spark, root).table("work_order_events"))
+
+
 def _dry_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dry_run(spark, inputs.landed(spark, sf_dir)).drop("source_checksum")
 
@@ -308,6 +336,7 @@ _QUERIES: dict[str, Query] = {
     "work_order_summary": _summary,
     "work_order_status_counts": _over_summary(marts.work_order_status_counts),
     "technician_close_rank": _over_summary(marts.technician_close_rank),
+    "technician_close_rank_ranges": _over_summary(lambda summary: marts.technician_close_rank(summary, ranges=64, max_broadcast=0)),
     "reopen_rate": _over_summary(marts.reopen_rate),
     "weekly_completed": _weekly_completed,
     "event_transitions": _over_events(marts.event_transitions),
@@ -345,6 +374,8 @@ _QUERIES: dict[str, Query] = {
     "load_twice": _load_twice,
     "dry_run": _dry_run,
     "replay_rejects": _replay_rejects,
+    "replay_twice": _replay_twice,
+    "views_follow_loads": _views_follow_loads,
     "load_retry": _load_retry,
     "stream_ingest": _stream_ingest,
     "stream_ingest_rejects": _stream_ingest_rejects,
@@ -365,5 +396,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    same = {"unknown_references_large": "unknown_references", "event_transitions_chunked": "event_transitions", "views_weekly_completed": "weekly_completed", "load_retry": "load_rejects"}
+    same = {"technician_close_rank_ranges": "technician_close_rank", "unknown_references_large": "unknown_references", "event_transitions_chunked": "event_transitions", "views_weekly_completed": "weekly_completed", "load_retry": "load_rejects"}
     return ORACLES | {name: ORACLES[other] for name, other in same.items()} | TEXT_ORACLES

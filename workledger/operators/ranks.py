@@ -17,15 +17,31 @@ def row_numbers(df: DataFrame, order: Sequence[Column], alias: str, ranges: int
     Rows that are equal in the whole order share a range, in no certain order.
     ``ranges`` is the number of ranges; if not given, the session's number of shuffle partitions.
     """
-    names = [f"_order{n}" for n in range(len(order))]
-    keyed = df.select("*", *[column.alias(name) for name, column in zip(names, order, strict=True)])
-    cut = keyed.repartitionByRange(ranges, *names) if ranges else keyed.repartitionByRange(*names)
+    cut = df.repartitionByRange(ranges, *order) if ranges else df.repartitionByRange(*order)
     # Ranges are drawn from a sample, so they are written before they are read twice.
     cut = materialize(cut.withColumn("_range", F.spark_partition_id()), "ranges")
     counts = cut.groupBy("_range").agg(F.count("*").alias("_rows"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
-    own = F.row_number().over(Window.partitionBy("_range").orderBy(*names))
+    own = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
     # One row per range: never more than the number of ranges.
     numbered = cut.withColumn("_own", own).join(F.broadcast(offsets), "_range")
-    return numbered.withColumn(alias, F.col("_own") + F.col("_before")).drop("_own", "_before", "_range", *names)
+    return numbered.withColumn(alias, F.col("_own") + F.col("_before")).drop("_own", "_before", "_range")
+
+
+# Distinct values, a rank each, that may be broadcast: some tens of bytes each.
+MAX_BROADCAST_VALUES = 1_000_000
+
+
+def dense_ranks(
+    df: DataFrame, column: str, alias: str, ranges: int | None = None, max_broadcast: int = MAX_BROADCAST_VALUES
+) -> DataFrame:
+    """Add ``alias``: the dense rank of the row by falling ``column``.
+
+    The distinct values are numbered by ranges and joined back, broadcast if they were counted to be few.
+    """
+    values = df.select(column).distinct()
+    ranks = materialize(row_numbers(values, [F.desc(column)], alias, ranges), "ranks")
+    if ranks.count() <= max_broadcast:
+        ranks = F.broadcast(ranks)
+    return df.join(ranks, column)

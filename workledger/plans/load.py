@@ -13,7 +13,8 @@ from workledger.operators.latest import latest_events
 from workledger.operators.merge import changed_events, changed_rows
 from workledger.plans.checks import constraint_violations
 from workledger.plans.stats import already_loaded, ingest_stats, ingestion_run_row
-from workledger.plans.warehouse import EVENTS, KEYS, REJECTS, RUNS, State, Warehouse
+from workledger.plans.warehouse import EVENTS, KEYS, REJECTS, REPLAYED, RUNS, State, Warehouse
+from workledger.schemas import STORE_FILE, TECHNICIAN_FILE
 from workledger.session import configure, materialize
 from workledger.sources.checksum import batch_checksum, line_digest
 from workledger.sources.lines import event_files, number_rows, scan_lines
@@ -204,3 +205,64 @@ def replay_rejects(
     """
     lines = rejects.select("source_file", "source_row_number", F.col("raw_payload").alias("raw"))
     return classify(lines, stores, technicians, profile)
+
+
+def open_rejects(tables: Warehouse, state: State | None = None) -> DataFrame:
+    """Rejects that no replay has loaded."""
+    state = state or tables.state()
+    return tables.table(REJECTS, state).join(tables.table(REPLAYED, state), ["run_id", "source_file", "source_row_number"], "left_anti")
+
+
+def load_replay(
+    spark: SparkSession,
+    warehouse: str,
+    stores: DataFrame | None = None,
+    technicians: DataFrame | None = None,
+    profile: str = "strict",
+    run_id: str | None = None,
+    now: datetime | None = None,
+) -> str | None:
+    """Judge the open rejects of event lines again and load those that pass now; returns the run's id, None if none passes.
+
+    Ids are checked against the warehouse's references unless others are given.
+    What passes is merged like a batch, and noted, so no later replay takes it
+    again. What is still rejected stays as it is, under its first run.
+    """
+    configure(spark)
+    tables = Warehouse(spark, warehouse)
+    state, run_id = tables.state(), run_id or str(uuid.uuid4())
+    seen_at = F.lit(now or datetime.now(timezone.utc)).cast("timestamp")
+    if not tables.table(RUNS, state).filter(F.col("run_id") == run_id).isEmpty():
+        raise ValueError(f"run {run_id} is recorded")
+    tables.mark(run_id, "STARTED")
+    try:
+        known = [tables.table("stores", state) if stores is None else stores]
+        known.append(tables.table("technicians", state) if technicians is None else technicians)
+        of_events = open_rejects(tables, state).filter(~F.col("source_file").isin(STORE_FILE, TECHNICIAN_FILE))
+        lines = of_events.select("run_id", "source_file", "source_row_number", F.col("raw_payload").alias("raw"))
+        passed = materialize(classify(lines, *known, profile).filter("reject_reason is null").drop("reject_reason"), "passed")
+        if passed.isEmpty():
+            return None
+        load = tables.new_load(state)
+        current = latest_events(passed).drop("run_id")
+        events, buckets = tables.touched(EVENTS, current.withColumn("raw_payload", F.parse_json("raw")), state)
+        stored = tables.partitions(EVENTS, state, buckets)
+        changes, written = tables.put(EVENTS, changed_events(stored, events.drop("bucket"), seen_at), state, load)
+        noted = passed.select("run_id", "source_file", "source_row_number", F.lit(run_id).alias("replay_run_id"), seen_at.alias("replayed_at"))
+        tables.append(REPLAYED, noted, load)
+        digested = passed.select(F.concat_ws("/", F.lit("replay"), "run_id", "source_file").alias("source_file"), "source_row_number", line_digest(F.col("raw")).alias("digest"))
+        counts = passed.agg(F.count_distinct("source_file").alias("file_count"), F.count("*").alias("record_count"))
+        unique = events.agg(F.count("*").alias("unique_event_count"))
+        completed = F.current_timestamp() if now is None else seen_at
+        run = batch_checksum(digested).crossJoin(counts).crossJoin(unique).select(
+            F.lit(run_id).alias("run_id"), "source_checksum", "file_count", "record_count", "unique_event_count",
+            F.lit(0).cast("long").alias("rejected_count"), completed.alias("completed_at"),
+        )
+        broken = constraint_violations(**{EVENTS: changes, RUNS: run}).filter("violations > 0").collect()
+        if broken:
+            raise ValueError("; ".join(f"{r.table_name}.{r.column_name} {r.constraint_kind}: {r.violations}" for r in broken))
+        tables.publish(state, load, {EVENTS: written, REPLAYED: []}, run)
+        return run_id
+    except Exception:
+        tables.mark(run_id, "FAILED")
+        raise

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from workledger import schemas
 from workledger.operators.previous import CHUNK_ROWS, with_previous
+from workledger.operators.ranks import MAX_BROADCAST_VALUES, dense_ranks
+from workledger.session import materialize
 
 EVENT_ORDER = ("event_timestamp_utc", "updated_at_utc", "event_id")
 
@@ -56,26 +58,19 @@ def work_order_status_counts(summary: DataFrame) -> DataFrame:
     return summary.groupBy("current_status").agg(F.count("*").alias("work_orders"))
 
 
-def technician_close_rank(summary: DataFrame) -> DataFrame:
+def technician_close_rank(summary: DataFrame, ranges: int | None = None, max_broadcast: int = MAX_BROADCAST_VALUES) -> DataFrame:
     """Technicians ranked by the number of work orders they closed.
 
-    Only the distinct counts are ranked in one task, not the technicians. With
-    ``n`` closed work orders there are at most ``sqrt(2 n)`` distinct counts (a
-    million for half a trillion), so that table may also be broadcast.
+    The distinct counts are ranked, in ranges, and joined to the technicians.
     """
     counts = (
         summary.filter((F.col("current_status") == "CLOSED") & F.col("technician_id").isNotNull())
         .groupBy("technician_id")
         .agg(F.count("*").alias("closed_work_order_count"))
     )
-    distinct_counts = counts.select("closed_work_order_count").distinct()
-    ranks = distinct_counts.selectExpr(
-        "closed_work_order_count",
-        "cast(dense_rank() over (order by closed_work_order_count desc) as bigint) as close_rank",
-    )
-    return counts.join(F.broadcast(ranks), "closed_work_order_count").select(
-        "technician_id", "closed_work_order_count", "close_rank"
-    )
+    counts = materialize(counts, "closed")
+    ranked = dense_ranks(counts, "closed_work_order_count", "close_rank", ranges, max_broadcast)
+    return ranked.select("technician_id", "closed_work_order_count", F.col("close_rank").cast("long").alias("close_rank"))
 
 
 def reopen_rate(summary: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ Tables that are upserted (events, stores, technicians) are partitioned by a buck
 of the key's hash and by load. A load writes the buckets that it changes, whole,
 as new partitions; all other buckets are neither read nor written. So a table is
 read without settling anything, and a read for known keys touches their buckets only.
-Rejects are appended, partitioned by load.
+Rejects, and what became of them, are appended, partitioned by load.
 
 The audit row is written last and names the buckets of the load: from then on
 readers see them. What a failed load left is in no audit row; its load id never
@@ -24,14 +24,17 @@ from workledger.session import materialize
 
 EVENTS = "work_order_events"
 REJECTS = "rejected_records"
+REPLAYED = "replayed_rejects"
 RUNS = "ingestion_runs"
 TABLES = {
     EVENTS: schemas.WORK_ORDER_EVENTS,
     REJECTS: schemas.REJECTED_RECORDS,
+    REPLAYED: schemas.REPLAYED_REJECTS,
     RUNS: schemas.INGESTION_RUNS,
     "stores": schemas.STORES,
     "technicians": schemas.TECHNICIANS,
 }
+APPENDED = (REJECTS, REPLAYED)
 # The column whose hash gives the bucket; other tables are appended to.
 KEYS = {EVENTS: "event_id", "stores": "store_id", "technicians": "technician_id"}
 
@@ -54,14 +57,18 @@ _COMMITS = T.StructType(
 )
 
 
+# A partition without rows that gives a new table its columns.
+_EMPTY = {name: "bucket=-1/load=none" if name in KEYS else "load=none" for name in TABLES if name != RUNS}
+
+
 @dataclass(frozen=True)
 class State:
-    """What readers see: of keyed tables the load of every bucket, of rejects all loads."""
+    """What readers see: of keyed tables the load of every bucket, of appended ones all loads."""
 
     sequence: int = 0
     buckets: int = BUCKETS
     live: dict[str, dict[int, str]] = field(default_factory=dict)
-    appended: tuple[str, ...] = ()
+    appended: dict[str, tuple[str, ...]] = field(default_factory=dict)
 
     def of(self, table: str) -> dict[int, str]:
         return self.live.get(table, {})
@@ -97,7 +104,7 @@ class Warehouse:
             return self.spark.createDataFrame([], _COMMITS)
 
     def state(self) -> State:
-        """The loads that are visible now: a row per bucket and one per load with rejects come to the driver."""
+        """The loads that are visible now: a row per bucket and one per load come to the driver."""
         commits = self.commits()
         last = commits.agg(F.max("sequence").alias("sequence"), F.max("buckets").alias("buckets")).first()
         if last.sequence is None:
@@ -108,8 +115,9 @@ class Warehouse:
         for row in newest.collect():
             live.setdefault(row.table, {})[row.bucket] = row.load
         gone = commits.select(F.explode("replaced").alias("load"))
-        appended = written.filter(F.col("table") == REJECTS).join(gone, "load", "left_anti").sort("sequence").collect()
-        return State(last.sequence, last.buckets, live, tuple(row.load for row in appended))
+        loads = written.filter(F.col("table").isin(*APPENDED)).join(gone, "load", "left_anti").sort("sequence").collect()
+        appended = {name: tuple(row.load for row in loads if row.table == name) for name in APPENDED}
+        return State(last.sequence, last.buckets, live, appended)
 
     def publish(self, state: State, load: str, written: dict[str, list[int]], run: DataFrame | None = None, replaced: list[str] | None = None) -> None:
         """Make the load visible, by one row. Fails if another load published since ``state`` was read."""
@@ -132,6 +140,15 @@ class Warehouse:
         )
         row.select(*_COMMITS.fieldNames()).coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
 
+    def create(self) -> None:
+        """Give tables without rows their columns, for readers of the folders themselves (views)."""
+        files = self._files()
+        for name, place in _EMPTY.items():
+            if not files.exists(self._path(f"{name}/{place}")):
+                self.spark.createDataFrame([], TABLES[name]).coalesce(1).write.parquet(f"{self.root}/{name}/{place}")
+        if not files.exists(self._path("commits")):
+            self.spark.createDataFrame([], _COMMITS).coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
+
     # --- tables ---
 
     def table(self, name: str, state: State | None = None) -> DataFrame:
@@ -145,7 +162,7 @@ class Warehouse:
             live = state.of(name)
             wanted = sorted(live if buckets is None else live.keys() & set(buckets))
             return self._read(name, [f"bucket={bucket}/load={live[bucket]}" for bucket in wanted])
-        return self._read(name, [f"load={load}" for load in state.appended])
+        return self._read(name, [f"load={load}" for load in state.appended.get(name, ())])
 
     def _read(self, name: str, places: list[str]) -> DataFrame:
         schema = T.StructType([*TABLES[name].fields, *([T.StructField("bucket", T.IntegerType())] if name in KEYS else []), T.StructField("load", T.StringType())])
@@ -180,33 +197,34 @@ class Warehouse:
             key, names = KEYS[name], [*TABLES[name].fieldNames(), "bucket"]
             stored = self.partitions(name, state, buckets).select(*names)
             kept = stored.join(placed.select("bucket", key), ["bucket", key], "left_anti")
-            self._write(kept.select(*names).unionByName(placed.select(*names)), name, load, "bucket")
+            # Rows of a bucket come together, and a large bucket is split again by size.
+            rows = kept.select(*names).unionByName(placed.select(*names)).hint("rebalance", F.col("bucket"))
+            rows.withColumn("load", F.lit(load)).write.mode("append").partitionBy("bucket", "load").parquet(f"{self.root}/{name}")
         return placed, buckets
 
     def append(self, name: str, rows: DataFrame, load: str) -> DataFrame:
-        self._write(rows.select(*TABLES[name].fieldNames()), name, load)
+        # Also without rows there is a file then, which readers expect of a listed load.
+        rows.select(*TABLES[name].fieldNames()).write.parquet(f"{self.root}/{name}/load={load}")
         return self._read(name, [f"load={load}"]).select(*TABLES[name].fieldNames())
 
-    def _write(self, rows: DataFrame, name: str, load: str, *by: str) -> None:
-        # Rows of a bucket come together, and a large bucket is split again by size.
-        rows = rows.hint("rebalance", *[F.col(c) for c in by])
-        rows.withColumn("load", F.lit(load)).write.mode("append").partitionBy(*by, "load").parquet(f"{self.root}/{name}")
-
     # --- upkeep ---
 
     def compact(self) -> None:
-        """Write the rejects of all loads together, so that their folders stay few."""
+        """Write the rejects of all loads together, and what became of them, so that their folders stay few."""
         state = self.state()
-        if len(state.appended) > 1:
+        together = sorted({load for loads in state.appended.values() for load in loads})
+        if len(together) > 1:
             load = self.new_load(state)
-            self.append(REJECTS, self.table(REJECTS, state), load)
-            self.publish(state, load, {REJECTS: []}, replaced=list(state.appended))
+            for name in APPENDED:
+                self.append(name, self.table(name, state), load)
+            self.publish(state, load, {name: [] for name in APPENDED}, replaced=together)
 
     def unlisted(self) -> list[str]:
         """Partitions that readers do not see: replaced ones and those of failed loads."""
         state, files = self.state(), self._files()
         seen = {f"{name}/bucket={b}/load={load}" for name, live in state.live.items() for b, load in live.items()}
-        seen |= {f"{REJECTS}/load={load}" for load in state.appended}
+        seen |= {f"{name}/load={load}" for name, loads in state.appended.items() for load in loads}
+        seen |= {f"{name}/{place}" for name, place in _EMPTY.items()}
         found = []
         for name in TABLES:
             pattern = f"{name}/bucket=*/load=*" if name in KEYS else f"{name}/load=*"

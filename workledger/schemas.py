@@ -74,6 +74,14 @@ INGESTION_RUNS = T.StructType(
     ]
 )
 
+# Rejects that were loaded later on, and the run that did.
+REPLAYED_REJECTS = T.StructType(
+    _strings("run_id", "source_file")
+    + [T.StructField("source_row_number", T.LongType())]
+    + _strings("replay_run_id")
+    + [T.StructField("replayed_at", T.TimestampType())]
+)
+
 # The columns a classified line carries besides its position, text and reason.
 EVENT_COLUMNS = (
     "event_id",

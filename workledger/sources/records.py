@@ -46,6 +46,24 @@ def _after(known: Column, bit: Column, before: Column) -> Column:
     return F.when(known, bit).otherwise((before + bit) % 2)
 
 
+def _states(lines: DataFrame, along: Window) -> tuple[DataFrame, Column, Column]:
+    """The lines, and as columns the states before and behind each."""
+    mapped = _combined(lines, along, F.col("open"), F.col("closed")).drop("open", "closed")
+    mapped = mapped.withColumns(
+        {"known_before": F.coalesce(F.lag("known").over(along), F.lit(False)), "bit_before": F.coalesce(F.lag("bit").over(along), F.lit(0))}
+    )
+    # A row per block: the state before it, from the maps of the blocks before it.
+    blocks = mapped.groupBy(*_BLOCK).agg(F.max_by(F.struct("known", "bit"), "running_id").alias("map"))
+    of_part = Window.partitionBy("source_file", "file_part").orderBy("block_start")
+    is_open = _after(F.col("map.known"), F.col("map.bit"), F.lit(1))
+    is_closed = _after(F.col("map.known"), F.col("map.bit"), F.lit(0))
+    along_part = _combined(blocks.select(*_BLOCK, is_open.alias("o"), is_closed.alias("c")), of_part, F.col("o"), F.col("c"))
+    behind = _after(F.col("known"), F.col("bit"), F.lit(0))
+    entered = along_part.select(*_BLOCK, F.coalesce(F.lag(behind).over(of_part), F.lit(0)).alias("entered"))
+    before = _after(F.col("known_before"), F.col("bit_before"), F.col("entered"))
+    return mapped.join(entered, _BLOCK), before, _after(F.col("known"), F.col("bit"), F.col("entered"))
+
+
 def scan_records(spark: SparkSession, path: str, name: str) -> DataFrame:
     """``source_file, source_row_number, record``: the text of every record; empty lines are none.
 
@@ -63,23 +81,11 @@ def scan_records(spark: SparkSession, path: str, name: str) -> DataFrame:
     # Places in a scan may differ between two readings.
     lines = materialize(lines, "lines")
     along = Window.partitionBy(*_BLOCK).orderBy("running_id")
-    mapped = _combined(lines, along, F.col("open"), F.col("closed")).drop("open", "closed")
-    mapped = mapped.withColumns({"known_before": F.lag("known").over(along), "bit_before": F.lag("bit").over(along)})
-    mapped = materialize(mapped.fillna({"known_before": False, "bit_before": 0}), "mapped")
-
-    # A row per block: the state before it, from the maps of the blocks before it.
-    blocks = mapped.groupBy(*_BLOCK).agg(F.max_by(F.struct("known", "bit"), "running_id").alias("map"))
-    blocks = blocks.select(*_BLOCK, "map.known", "map.bit")
-    of_part = Window.partitionBy("source_file", "file_part").orderBy("block_start")
-    is_open = _after(F.col("known"), F.col("bit"), F.lit(1))
-    is_closed = _after(F.col("known"), F.col("bit"), F.lit(0))
-    along_part = _combined(blocks.select(*_BLOCK, is_open.alias("o"), is_closed.alias("c")), of_part, F.col("o"), F.col("c"))
-    behind = _after(F.col("known"), F.col("bit"), F.lit(0))
-    entered = along_part.select(*_BLOCK, F.coalesce(F.lag(behind).over(of_part), F.lit(0)).alias("entered"))
-    # Joined without a hint: the engine sees the sizes of written tables.
-    placed = mapped.join(materialize(entered, "blocks"), _BLOCK)
-    before = _after(F.col("known_before"), F.col("bit_before"), F.col("entered"))
-    after = _after(F.col("known"), F.col("bit"), F.col("entered"))
+    if lines.filter("closed = 1").isEmpty():
+        # No line leaves a field open, so none begins inside one.
+        placed, before, after = lines, F.lit(0), F.lit(0)
+    else:
+        placed, before, after = _states(lines, along)
     begins = (before == 0) & ~((after == 0) & F.col("raw").isin("", "\r"))
     single = (before == 0) & (after == 0)
     stated = placed.select(*_BLOCK, "running_id", "raw", begins.cast("int").alias("begins"), single.alias("single"))
@@ -98,7 +104,7 @@ def scan_records(spark: SparkSession, path: str, name: str) -> DataFrame:
         F.sum("heads").over(parts).alias("headers"),
         (F.coalesce(first == F.col("block_start"), F.lit(False))).alias("with_header"),
     )
-    numbered = stated.join(materialize(offsets, "blocks"), _BLOCK).withColumn("number", F.col("earlier") + F.col("upto"))
+    numbered = stated.join(offsets, _BLOCK).withColumn("number", F.col("earlier") + F.col("upto"))
     whole = numbered.filter("single").select("source_file", "number", "headers", "raw", (F.col("with_header") & (F.col("upto") == 1)).alias("header"))
     spread = numbered.filter("not single")
     # Lines of one record are brought together; a record of many lines is one value anyhow.
