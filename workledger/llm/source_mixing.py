@@ -223,7 +223,7 @@ def mix(
     # Equal rows become one with their number, so that none of them is a hot key later.
     units = materialize(sized.groupBy("id", "source", "size").agg(F.count("*").alias("rows")), "units")
     by_source = materialize(units.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size")), "sources")
-    order = [F.col("source").isNull().alias("nothing"), F.col("source")]
+    order = [F.col("source").isNull(), F.col("source")]
     numbered = row_numbers(by_source, order, "place").withColumn("place", F.col("place") - 1)
     sources = materialize(targets(materialize(numbered, "sources"), weights, most), "targets")
     placed = units.join(sources.select(F.col("source").alias("of"), "place"), F.col("source").eqNullSafe(F.col("of"))).drop("source", "of")
