@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -232,7 +233,7 @@ def plain_secrets(text):
 
 
 def test_secrets(docs, none):
-    rows = secret_scan.find_secrets(docs).withColumn("masked", secret_scan.redacted(F.col("text"), F.col("spans"))).collect()
+    rows = secret_scan.find_secrets(docs, masked="masked").collect()
     for row in rows:
         assert [tuple(s) for s in row.spans if s.kind in ("assign", "access", "hex")] == plain_secrets(row.text)
         expected, at = "", 0
@@ -255,6 +256,43 @@ def test_secrets_of_random_texts_and_minimal_automaton():
     assert len(small.step) == 4  # start, one letter read, end, dead
 
 
+def plain_added(text):
+    """Spans of the rules that the scan adds, by the expressions as they stand."""
+    out = []
+    for n, rule in enumerate(secret_scan.ADDED):
+        out += [(m.start(), n, m.end()) for m in re.finditer(rule.pattern, text) if m.end() - m.start() >= rule.least]
+    return [(secret_scan.ADDED[n].kind, a, b) for a, n, b in sorted(out)]
+
+
+def test_all_rules_in_random_texts(monkeypatch):
+    rng = random.Random(12)
+    parts = ["eyJ", "eyJh", ".", "abcDEF012-_", "ghp_", "xoxb-", "0123456789abcdefABCDEF", "-----BEGIN ", "RSA ", "PRIVATE KEY-----", " ", "\n", "é", "secret=", "AKIA", "Z" * 20]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(60))) for _ in range(3000)]
+    added = {rule.kind for rule in secret_scan.ADDED}
+    scanner = secret_scan.Scanner()
+    for long_lane in (secret_scan.LONG_LANE, 0):
+        monkeypatch.setattr(secret_scan, "LONG_LANE", long_lane)
+        found = scanner.scan([t.encode() for t in texts])
+        assert [[s for s in spans if s[0] in added] for spans in found] == [plain_added(t) for t in texts]
+        assert [[s for s in spans if s[0] not in added] for spans in found] == [plain_secrets(t) for t in texts]
+    assert {k for spans in found for k, _, _ in spans} == {rule.kind for rule in secret_scan.RULES}
+
+
+def test_secret_scan_is_linear():
+    scanner = secret_scan.Scanner()
+
+    def seconds(text):
+        started = time.perf_counter()
+        spans = scanner.scan([text.encode()])[0]
+        secret_scan.redacted(text, spans)
+        return time.perf_counter() - started
+
+    real = " eyJ" + "a" * 30 + ".eyJbbbb.cccc"
+    for make in (lambda n: "eyJ" * (n // 3) + real, lambda n: "a" * n + real, lambda n: "secret = abcdefgh " * (n // 18), lambda n: "eyJ." * (n // 4) + real):
+        short, long = (min(seconds(make(n)) for _ in range(2)) for n in (250_000, 1_000_000))
+        assert long < 10 and long < 8 * short + 0.2
+
+
 # --- archives -----------------------------------------------------------------
 
 
@@ -404,6 +442,33 @@ def test_long_text_has_the_same_presence(monkeypatch):
     assert (model.presence([text]) == whole).all()
 
 
+def plain_grams(text):
+    letters = "".join(c.lower() if len(c.lower()) == 1 else c for c in (c if c.isalpha() else " " for c in f" {text} "))
+    spaced = re.sub(" +", " ", letters)
+    return {spaced[k : k + n] for n in (1, 2, 3) for k in range(len(spaced) - n + 1)} - {" "}
+
+
+def test_every_cut_has_the_grams_of_the_whole_text(monkeypatch):
+    """Brute force over all cut positions, words without end and long runs of other characters."""
+    texts = ["The quick, brown fox; jumps 12 times", "endless" * 12, "a" + " ,.-" * 20 + "b c" + "\n" * 9, "ab", "é ß Ǆ日本", "1234567890" * 3 + "x"]
+
+    def key(gram):
+        number = 0
+        for c in gram:
+            number = number << 21 | (0 if c == " " else ord(c))
+        return number
+
+    for piece in range(1, 40):
+        monkeypatch.setattr(language_id, "PIECE", piece)
+        for text in texts:
+            expected = {key(g) for g in plain_grams(text)} - {0}
+            assert set(language_id.grams(text).tolist()) == expected, (piece, text)
+            every = sorted({key(g) for t in texts for g in plain_grams(t)} - {0})
+            model = language_id.Model([], np.array(every, np.uint64), np.zeros((0, 0)))
+            present = model.presence([text, "zz", text])
+            assert {every[k] for k in np.flatnonzero(present[0])} == expected and (present[0] == present[2]).all()
+
+
 # --- token counts -------------------------------------------------------------
 
 

@@ -8,8 +8,9 @@ landmarks fold into one matrix of n-grams by languages, so a batch of texts is
 scored by one product of its presence matrix and that matrix.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0;
-texts of any length are read whole, in pieces whose n-grams are united; equal
-texts get equal results; without any labelled text every text is ``und``.
+texts of any length are read whole, long ones in parts that have together exactly the
+n-grams of the text; equal texts get equal results; without any labelled text every
+text is ``und``; an empty table gives an empty result.
 Output columns replace input columns of the same names.
 """
 
@@ -75,29 +76,28 @@ def keys_of(codes: np.ndarray):
         key = (key[:-1] << np.uint64(21)) | codes[n:] if len(key) else key
 
 
-def pieces(text: str):
-    """A long text in pieces that overlap by whole words, so that no n-gram is lost."""
-    at = 0
-    while len(text) - at > PIECE:
-        stop = at + PIECE
-        yield text[at:stop]
-        # Go back over two borders and the letters between them.
-        back = stop
-        for _ in range(SPECTRUM):
-            while back > at + 1 and text[back - 1].isalpha():
-                back -= 1
-            while back > at + 1 and not text[back - 1].isalpha():
-                back -= 1
-        at = back if back > at + PIECE // 2 else stop - SPECTRUM
-    yield text[at:]
+def long_codes(text: str):
+    """The letters of a long text, in parts that begin with the last codes of the part before.
+
+    So every n-gram is in some part, and a cut makes no border that the text does not have.
+    """
+    tail = np.zeros(1, np.uint64)  # the border before the text
+    for at in range(0, len(text), PIECE):
+        raw = text[at : at + PIECE].encode("utf-32-le", "surrogatepass")
+        last = [0] if at + PIECE >= len(text) else []
+        codes = np.concatenate([tail, letters()[np.frombuffer(raw, "<u4")].astype(np.uint64), np.array(last, np.uint64)])
+        kept = np.ones(len(codes), bool)
+        kept[1:] = (codes[1:] != 0) | (codes[:-1] != 0)
+        codes = codes[kept]
+        yield codes
+        tail = codes[-(SPECTRUM - 1) :]
 
 
 def grams(text: str) -> np.ndarray:
     """The distinct n-grams of a text as numbers, sorted."""
     found = np.zeros(0, np.uint64)
-    for piece in pieces(text):
-        codes, _ = codes_of([piece])
-        found = np.unique(np.concatenate([found, *[k for k in keys_of(codes[:-1])]]))
+    for codes in long_codes(text) if len(text) > PIECE else [codes_of([text])[0][:-1]]:
+        found = np.unique(np.concatenate([found, *keys_of(codes)]))
     return found[found != 0]
 
 
@@ -116,24 +116,29 @@ class Model:
         """One row per text: 1 for each n-gram of the landmarks that the text has."""
         out = np.zeros((len(texts), len(self.keys)), np.float32)
 
-        def mark(some: list[str], rows: np.ndarray) -> None:
-            codes, of = codes_of(some)
+        def mark(codes: np.ndarray, of: np.ndarray) -> None:
             for key in keys_of(codes):
                 column = self.lookup(key)
                 place = np.flatnonzero(column >= 0)
-                out[rows[of[place]], column[place]] = 1
+                out[of[place], column[place]] = 1
+
+        def together(rows: list[int]) -> None:
+            codes, of = codes_of([texts[k] for k in rows])
+            mark(codes, np.array(rows)[of])
 
-        waiting, rows, size = [], [], 0
+        waiting, size = [], 0
         for row, text in enumerate(texts):
-            for piece in pieces(text):
-                waiting.append(piece)
-                rows.append(row)
-                size += len(piece)
-                if size >= PIECE:
-                    mark(waiting, np.array(rows))
-                    waiting, rows, size = [], [], 0
+            if len(text) > PIECE:
+                for codes in long_codes(text):
+                    mark(codes, np.full(len(codes), row))
+                continue
+            waiting.append(row)
+            size += len(text)
+            if size >= PIECE:
+                together(waiting)
+                waiting, size = [], 0
         if waiting:
-            mark(waiting, np.array(rows))
+            together(waiting)
         return out
 
     def batches(self, rows: list):

@@ -2,13 +2,20 @@
 
 The rules' expressions are compiled to one non-deterministic automaton, made
 deterministic by subset construction and minimised by refining partitions. The
-result is an array of transitions. Texts are cut into lanes at bytes after which
-the automaton is back at its start from every state, and all lanes are stepped
-together. Only lanes that met an accepting state are read again, rule by rule,
-for the exact spans: leftmost, not overlapping, as long as possible.
+result is an array of transitions. It reads the bytes from the last to the first and
+so tells, at every byte, which rules have a match that begins there; nothing
+is ever tried at a byte that begins no match. Each match is then followed once, by its
+rule's own automaton, to its end: leftmost, not overlapping, as long as possible.
+
+Texts are cut into lanes at bytes after which the automaton is back at its start
+from every state, so no match crosses a cut. Ordinary lanes are stepped
+together to find those with a match; those, and lanes longer than ``LONG_LANE``,
+are read byte by byte. Time is in proportion to the bytes, whatever they are, for rules
+whose match can be told to end a bounded number of bytes behind it, as all rules here.
 
 Defined cases: null and empty texts have no spans; equal rows give equal spans;
-texts of any length are cut into lanes; an input column named ``spans`` is replaced.
+texts of any length are read whole; an empty table gives an empty result; input
+columns named like an output are replaced.
 """
 
 from __future__ import annotations
@@ -17,7 +24,7 @@ from re import _constants as sre, _parser as parser
 from typing import NamedTuple
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
 
 from workledger.llm.common import append_columns
 
@@ -51,15 +58,17 @@ ADDED = (
 RULES = BASE + ADDED
 
 LANE = 512
+LONG_LANE = 8 * LANE
 LANES_AT_ONCE = 1 << 15
 
 SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
 
 
 class _Nfa:
-    """Thompson's construction over bytes."""
+    """Thompson's construction over bytes; ``backwards`` for the matches read from their ends."""
 
-    def __init__(self):
+    def __init__(self, backwards: bool = False):
+        self.backwards = backwards
         self.free: list[list[int]] = []
         self.on: list[tuple[frozenset[int], int] | None] = []
 
@@ -70,7 +79,7 @@ class _Nfa:
 
     def add(self, parsed, start: int) -> int:
         """Append a parsed expression behind ``start``; returns where it ends."""
-        for op, arg in parsed:
+        for op, arg in reversed(list(parsed)) if self.backwards else parsed:
             if op is sre.LITERAL:
                 start = self._byte({arg}, start)
             elif op is sre.IN:
@@ -133,9 +142,9 @@ def _byte_set(parts) -> set[int]:
 class Automaton:
     """Transitions as one array (state, byte); per state a bit set of the rules that end there."""
 
-    def __init__(self, rules: tuple[Rule, ...], anywhere: bool):
-        """``anywhere``: a match may begin at every byte, else only at the first."""
-        nfa = _Nfa()
+    def __init__(self, rules: tuple[Rule, ...], anywhere: bool, backwards: bool = False):
+        """``anywhere``: a match may begin at every byte that is read, else only at the first."""
+        nfa = _Nfa(backwards)
         begin = nfa.state()
         ends = {}
         for n, rule in enumerate(rules):
@@ -188,10 +197,11 @@ def _minimal(step: np.ndarray, accepts: np.ndarray, dead: int):
 class Scanner:
     def __init__(self, rules: tuple[Rule, ...] = RULES):
         self.rules = rules
-        self.all = Automaton(rules, anywhere=True)
+        self.all = Automaton(rules, anywhere=True, backwards=True)
         self.single = [Automaton((rule,), anywhere=False) for rule in rules]
         self.flat = self.all.step.astype(np.int32).ravel()
         del self.all.step  # sent to every task
+        self.steps, self.ends = self.flat.tolist(), self.all.accepts.tolist()
         self.tables = [(a.step.tolist(), a.accepts.tolist(), a.start, a.dead) for a in self.single]
         self.value_bytes = [_byte_set(parser.parse(r.value)[0][1]) if r.value else set() for r in rules]
 
@@ -205,41 +215,55 @@ class Scanner:
         return np.concatenate([[0], ends[:-1]]).astype(np.int64), ends.astype(np.int64)
 
     def flagged(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Per lane the rules that ended a match somewhere in it."""
-        seen = np.zeros(len(begin), np.int64)
+        """Whether a match begins in each lane; long lanes count as flagged and are not read."""
+        seen = end - begin > LONG_LANE
         order = np.argsort(begin - end, kind="stable")  # longest first
+        order = order[~seen[order]]
         for at in range(0, len(order), LANES_AT_ONCE):
             lane = order[at : at + LANES_AT_ONCE]
-            place, left = begin[lane], end[lane] - begin[lane]
+            place, left = end[lane] - 1, end[lane] - begin[lane]
             state = np.full(len(lane), self.all.start, np.int32)
             met = np.zeros(len(lane), np.int64)
-            live = len(lane)
             live_at = np.searchsorted(-left, -np.arange(1, int(left[0]) + 1), side="right") if len(left) else []
             for depth, live in enumerate(live_at):
-                state = self.flat[(state[:live] << 8) + data[place[:live] + depth]]
+                state = self.flat[(state[:live] << 8) + data[place[:live] - depth]]
                 met[:live] |= self.all.accepts[state]
-            seen[lane] = met
+            seen[lane] = met != 0
         return seen
 
-    def matches(self, raw: bytes, rule: int) -> list[tuple[int, int]]:
+    def starts(self, raw: bytes) -> list[list[int]]:
+        """Per rule the places in a lane, in rising order, where a match begins."""
+        out: list[list[int]] = [[] for _ in self.rules]
+        state, steps, ends = self.all.start, self.steps, self.ends
+        place = len(raw)
+        for byte in reversed(raw):
+            place -= 1
+            state = steps[(state << 8) + byte]
+            if ends[state]:
+                for rule, places in enumerate(out):
+                    if ends[state] >> rule & 1:
+                        places.append(place)
+        for places in out:
+            places.reverse()
+        return out
+
+    def matches(self, raw: bytes, rule: int, starts: list[int]) -> list[tuple[int, int]]:
         """Leftmost matches of one rule that do not overlap, each as long as possible, without those too short."""
         step, accepts, start, dead = self.tables[rule]
         least, value = self.rules[rule].least, self.value_bytes[rule]
-        out, at = [], 0
-        while at < len(raw):
-            state, end = start, -1
+        out, free = [], 0
+        for at in starts:
+            if at < free:
+                continue
+            state = start
             for place in range(at, len(raw)):
                 state = step[state][raw[place]]
                 if state == dead:
                     break
                 if accepts[state]:
-                    end = place + 1
-            if end < 0:
-                at += 1
-                continue
-            if self._value_length(raw, at, end, value) >= least:
-                out.append((at, end))
-            at = end
+                    free = place + 1
+            if self._value_length(raw, at, free, value) >= least:
+                out.append((at, free))
         return out
 
     def _value_length(self, raw: bytes, begin: int, end: int, value: set[int]) -> int:
@@ -268,9 +292,10 @@ class Scanner:
             a, b = int(begin[lane]), int(end[lane])
             k = int(np.searchsorted(stops, a, side="right"))
             shift = a - (int(stops[k - 1]) if k else 0)
-            for rule in range(len(self.rules)):
-                if int(seen[lane]) >> rule & 1:
-                    out[k] += [(rule, x + shift, y + shift) for x, y in self.matches(joined[a:b], rule)]
+            raw = joined[a:b]
+            for rule, starts in enumerate(self.starts(raw)):
+                if starts:
+                    out[k] += [(rule, x + shift, y + shift) for x, y in self.matches(raw, rule, starts)]
         return [self._characters(t, s) for t, s in zip(texts, out, strict=True)]
 
     def _characters(self, raw: bytes, spans: list[tuple[int, int, int]]) -> list[tuple[str, int, int]]:
@@ -288,10 +313,28 @@ class Scanner:
 TEXTS_BYTES = 2 << 20
 
 
-def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
-    """Add ``spans``: kind, start and end (in characters, end exclusive) of every secret of the whole text."""
+MASK = "[SECRET]"
+
+
+def redacted(text: str, spans: list[tuple[str, int, int]], mark: str = MASK) -> str:
+    """The text with every span, or run of overlapping spans, replaced by ``mark``."""
+    parts, at = [], 0
+    for _, begin, end in spans:
+        if end > at:
+            if begin >= at:
+                parts += [text[at:begin], mark]
+            at = end
+    return "".join([*parts, text[at:]])
+
+
+def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", masked: str | None = None) -> DataFrame:
+    """Add ``spans``: kind, start and end (in characters, end exclusive) of every secret of the whole text.
+
+    ``masked`` names a column for the text with its secrets masked, if wanted.
+    """
 
     scanner = Scanner(rules)
+    fields = [T.StructField("spans", SPANS)] + ([T.StructField(masked, T.StringType())] if masked else [])
 
     def prepare():
         def compute(texts):
@@ -303,25 +346,11 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "
                     out += scanner.scan(waiting)
                     waiting, size = [], 0
             out += scanner.scan(waiting)
-            return [[[{"kind": k, "start": a, "end": b} for k, a, b in spans] for spans in out]]
+            columns = [[[{"kind": k, "start": a, "end": b} for k, a, b in spans] for spans in out]]
+            if masked:
+                columns.append([redacted(t.as_py(), spans) if spans else t.as_py() for t, spans in zip(texts, out, strict=True)])
+            return columns
 
         return compute
 
-    return append_columns(docs, [text], T.StructType([T.StructField("spans", SPANS)]), prepare)
-
-
-def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """The text with every span, or run of overlapping spans, replaced by ``mark``."""
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("text"))
-    step = lambda done, span: F.when(
-        span["end"] <= done["at"], done
-    ).otherwise(
-        F.struct(
-            span["end"].alias("at"),
-            F.when(span["start"] < done["at"], done["text"])
-            .otherwise(F.concat(done["text"], F.substring(text, (done["at"] + 1).cast("int"), (span["start"] - done["at"]).cast("int")), F.lit(mark)))
-            .alias("text"),
-        )
-    )
-    rest = lambda done: F.concat(done["text"], F.substring(text, (done["at"] + 1).cast("int"), F.length(text)))
-    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, rest)).otherwise(text)
+    return append_columns(docs, [text], T.StructType(fields), prepare)
