@@ -55,8 +55,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret found is masked, and the number of characters follows."""
-    found = secret_scan.find_secrets(_apart(docs), text="__text")
-    masked = secret_scan.redacted(F.col("__text"), F.col("spans"))
+    found = secret_scan.find_secrets(_apart(docs), text="__text", masked="__masked")
+    masked = F.col("__masked")
     changed = {"text": masked, "n_chars": F.when(F.size("spans") > 0, F.length(masked).cast("long")).otherwise(F.col("__row.n_chars"))}
     return found.select(*[changed.get(c, F.col("__row")[c]).alias(c) for c in docs.columns])
 
