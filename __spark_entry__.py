@@ -25,6 +25,7 @@ from workledger.operators.latest import latest_event_per_work_order, latest_even
 from workledger.operators.merge import merge_latest, upsert  # noqa: E402
 from workledger.plans import marts  # noqa: E402
 from workledger.plans.checks import constraint_violations  # noqa: E402
+from workledger.plans.kept import keep_analyses  # noqa: E402
 from workledger.plans.load import (  # noqa: E402
     dry_run,
     load_batch,
@@ -32,7 +33,14 @@ from workledger.plans.load import (  # noqa: E402
     reject_rows,
     replay_rejects,
 )
-from workledger.plans.stats import already_loaded, ingest_stats, ingestion_run_row  # noqa: E402
+from workledger.plans.stats import (  # noqa: E402
+    already_loaded,
+    distinct_sketches,
+    ingest_stats,
+    ingestion_run_row,
+    one_row,
+    sketched_counts,
+)
 from workledger.plans.views import create_views, register_views  # noqa: E402
 from workledger.plans.warehouse import Warehouse  # noqa: E402
 from workledger.schemas import EVENT_COLUMNS  # noqa: E402
@@ -153,6 +161,17 @@ def _stats(spark: SparkSession, sf_dir: str, checksum: DataFrame | None = None)
     )
 
 
+def _distinct_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact distinct counts, and whether those of the files' sketches together are within two per cent."""
+    names = ("work_order_id", "event_id")
+    accepted = materialize(accepted_events(_classified(spark, sf_dir)).select("source_file", *names), "accepted")
+    sketches = materialize(distinct_sketches(accepted, "source_file", *names), "sketches")
+    estimated = sketched_counts(sketches, *names).select(*[F.col(name).alias(f"{name}_estimate") for name in names])
+    exact = accepted.agg(*[F.count_distinct(name).alias(name) for name in names])
+    within = [(F.abs(F.col(f"{n}_estimate") - F.col(n)) <= 0.02 * F.col(n)).alias(f"{n}_within") for n in names]
+    return one_row(exact, estimated).select(*names, *within)
+
+
 def _checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = inputs.event_lines(spark, sf_dir).withColumn("digest", line_digest(F.col("raw")))
     return batch_checksum(lines)
@@ -309,6 +328,14 @@ def _views_follow_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(spark.sql("SELECT * FROM work_order_summary"), "summary")
 
 
+def _summary_after_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = fresh_folder(configure(spark), "warehouse")
+    keep_analyses(Warehouse(spark, root))
+    for n, files in enumerate((inputs.FILES[:1], inputs.FILES[1:])):
+        load_batch(spark, inputs.landed(spark, sf_dir, files), root, run_id=f"run-{n}", now=(FIRST_LOAD, SECOND_LOAD)[n])
+    return Warehouse(spark, root).table("kept_work_order_summary")
+
+
 def _replay_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_folder(configure(spark), "warehouse")
     load_batch(spark, inputs.landed(spark, sf_dir), root, run_id="run-1", now=FIRST_LOAD)
@@ -353,6 +380,7 @@ _QUERIES: dict[str, Query] = {
     "latest_events": _latest_events,
     "ingest_stats": _stats,
     "ingestion_run_row": _run_row,
+    "distinct_estimate": _distinct_estimate,
     "batch_checksum": _checksum,
     "reference_scan": _reference_scan,
     "reference_clean": lambda spark, sf_dir: inputs.stores(spark, sf_dir).clean,
@@ -374,6 +402,7 @@ _QUERIES: dict[str, Query] = {
     "load_twice": _load_twice,
     "dry_run": _dry_run,
     "replay_rejects": _replay_rejects,
+    "summary_after_loads": _summary_after_loads,
     "replay_twice": _replay_twice,
     "views_follow_loads": _views_follow_loads,
     "load_retry": _load_retry,
@@ -396,5 +425,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    same = {"technician_close_rank_ranges": "technician_close_rank", "unknown_references_large": "unknown_references", "event_transitions_chunked": "event_transitions", "views_weekly_completed": "weekly_completed", "load_retry": "load_rejects"}
+    same = {"technician_close_rank_ranges": "technician_close_rank", "unknown_references_large": "unknown_references", "event_transitions_chunked": "event_transitions", "views_weekly_completed": "weekly_completed", "load_retry": "load_rejects", "summary_after_loads": "views_follow_loads"}
     return ORACLES | {name: ORACLES[other] for name, other in same.items()} | TEXT_ORACLES

@@ -1,6 +1,7 @@
 """Batch and stream loads into a warehouse of small files."""
 
 import json
+import os
 from datetime import datetime, timezone
 from itertools import product
 
@@ -11,9 +12,10 @@ from workledger import schemas
 from workledger.operators.merge import changed_events
 from workledger.plans.checks import constraint_violations
 from workledger.plans import marts
+from workledger.plans.kept import keep_analyses
 from workledger.plans.load import dry_run, load_batch, load_replay, open_rejects, replay_rejects
 from workledger.plans.views import create_views
-from workledger.plans.warehouse import EVENTS, REJECTS, Warehouse, bucket_of
+from workledger.plans.warehouse import EVENTS, KEPT, REJECTS, Warehouse, bucket_of
 from workledger.streaming.ingest import ingest_stream
 
 DAY = [datetime(2026, 2, day, tzinfo=timezone.utc) for day in range(1, 6)]
@@ -321,10 +323,26 @@ def test_stream_by_single_files(spark, tmp_path):
     rejects = warehouse.table("rejected_records").filter("source_file like '%jsonl'")
     assert {(r.source_file[-8:], r.source_row_number) for r in rejects.collect()} == {("01.jsonl", 2), ("02.jsonl", 1)}
 
+
+def test_parts_of_a_file_are_numbered_on(spark, tmp_path):
+    """Parts in one micro-batch each, and parts that land later, have the numbers of one batch."""
+    source = batch(tmp_path / "landing", line("E1", 2))
     folder = tmp_path / "landing" / "work_order_events_03.jsonl"
-    spark.range(4).selectExpr("'bad'").repartition(2).write.text(str(folder))
-    with pytest.raises(Exception, match="max_files"):
-        ingest_stream(spark, source, root, str(tmp_path / "checkpoint"), max_files=1).awaitTermination()
+    folder.mkdir()
+    parts = [folder / f"part-0000{n}.txt" for n in range(3)]
+    for n, part in enumerate(parts):
+        part.write_text("bad\n" * (n + 2))
+        os.utime(part, (1_700_000_000 + n, 1_700_000_000 + n))  # files are taken by age
+    root, checkpoint = str(tmp_path / "warehouse"), str(tmp_path / "checkpoint")
+    ingest_stream(spark, source, root, checkpoint, max_files=1).awaitTermination()
+    (folder / "part-00009-late.txt").write_text("bad\n\n")
+    ingest_stream(spark, source, root, checkpoint).awaitTermination()
+    warehouse = Warehouse(spark, root)
+    rejects = warehouse.table(REJECTS).filter("source_file = 'work_order_events_03.jsonl'")
+    total = sum(n + 2 for n in range(len(parts)))
+    assert sorted(r.source_row_number for r in rejects.collect()) == list(range(1, total + 3))
+    assert [r.source_row_number for r in rejects.filter("reason like 'blank%'").collect()] == [total + 2]
+    assert warehouse.table("ingestion_runs").count() == len(parts) + 2
 
 
 def test_views_follow_loads(spark, tmp_path):
@@ -348,6 +366,7 @@ def test_views_follow_loads(spark, tmp_path):
             "analysis_weekly_completed": marts.weekly_completed(summary),
             "analysis_abnormal_sequences": marts.abnormal_sequences(events),
             **{name: warehouse.table(name) for name in (REJECTS, "ingestion_runs", "stores", "technicians", "replayed_rejects")},
+            **{name: warehouse.table(name) for name in KEPT},
             EVENTS: events,
         }
         assert set(expected) == set(names)
@@ -383,3 +402,35 @@ def test_replay_loads_once(spark, tmp_path):
     assert {tuple(r) for r in warehouse.run_status().collect()} >= {("p1", "SUCCEEDED"), ("p2", "SUCCEEDED"), ("p3", "STARTED")}
     with pytest.raises(ValueError, match="p2 is recorded"):
         load_replay(spark, root, run_id="p2")
+
+
+def test_kept_tables_follow_micro_batches(spark, tmp_path):
+    root, checkpoint = str(tmp_path / "warehouse"), str(tmp_path / "checkpoint")
+    warehouse = Warehouse(spark, root)
+    load_batch(spark, batch(tmp_path / "old", *[line(f"O{n}", 1, work_order_id=f"X{n}") for n in range(150)]), root, now=DAY[0])
+    keep_analyses(warehouse)
+    untouched = warehouse.state().of("kept_work_order_summary")
+    batches = [
+        [line("E1", 1), line("E2", 2, "CLOSED"), line("E3", 3, "OPENED"), line("E4", 1, "CLOSED", work_order_id="W2")],
+        # A correction of the type, one that moves an event to another work order, an older one.
+        [line("E2", 3, "WORK_COMPLETED", labor={"minutes": 5}), line("E3", 4, "OPENED", work_order_id="W2"), line("E1", 1, "CLOSED"), "bad"],
+        # W2 loses all its events; a new one.
+        [line("E3", 5, "REOPENED"), line("E4", 2, "CLOSED", work_order_id="W3"), line("E5", 2, "CLOSED", work_order_id="W4")],
+    ]
+    touched = [{"W1", "W2"}, {"W1", "W2"}, {"W1", "W2", "W3", "W4"}]
+    before = untouched
+    spoiled = spoil(tmp_path / "warehouse", "work_order_history", buckets(spark, "W1", "W2", "W3", "W4"))
+    assert len(spoiled) > 40
+    for n, lines in enumerate(batches):
+        source = batch(tmp_path / "landing", *lines, name=f"work_order_events_0{n}.jsonl")
+        ingest_stream(spark, source, root, checkpoint).awaitTermination()
+        events = warehouse.table(EVENTS)
+        summary, kept = marts.work_order_summary(events), warehouse.table("kept_work_order_summary")
+        assert kept.schema == summary.schema or kept.columns == summary.columns
+        assert sorted(map(str, kept.collect())) == sorted(map(str, summary.collect()))
+        found = warehouse.table("kept_abnormal_sequences").collect()
+        assert sorted(map(str, found)) == sorted(map(str, marts.abnormal_sequences(events).collect()))
+        after = warehouse.state().of("kept_work_order_summary")
+        assert {b for b in after if after[b] != before.get(b)} == buckets(spark, *touched[n])
+        before = after
+    assert {r.work_order_id for r in kept.collect()} == {f"X{n}" for n in range(150)} | {"W1", "W3", "W4"}

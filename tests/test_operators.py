@@ -12,6 +12,7 @@ from workledger.operators.merge import merge_latest, upsert
 from workledger.operators.previous import heavy_keys, with_previous
 from workledger.operators.ranks import row_numbers
 from workledger.plans import marts
+from workledger.plans.stats import distinct_sketches, sketched_counts
 from workledger.schemas import ABNORMAL_TRANSITIONS, EVENT_TYPES
 
 START = datetime(2026, 1, 1)
@@ -158,3 +159,10 @@ def test_ranks_by_ranges(spark, ranges, max_broadcast):
     assert {tuple(r) for r in found.collect()} == {(t, n, order.index(n) + 1) for t, n in counts.items()}
     numbered = row_numbers(spark.createDataFrame([(n,) for n in (5, 3, None, 9, 7)], "n int"), [F.col("n").isNull(), F.col("n")], "place", ranges)
     assert {(r.n, r.place) for r in numbered.collect()} == {(3, 1), (5, 2), (7, 3), (9, 4), (None, 5)}
+
+
+def test_united_sketches_are_the_sketch_of_all(spark):
+    rows = spark.range(60_000).selectExpr("id % 7 as run", "cast(id % 20000 as string) as a", "concat('x', id % 3) as b")
+    apart = sketched_counts(distinct_sketches(rows, "run", "a", "b"), "a", "b").first()
+    together = sketched_counts(distinct_sketches(rows.withColumn("run", F.lit(0)), "run", "a", "b"), "a", "b").first()
+    assert apart == together and abs(apart.a - 20_000) <= 400 and apart.b == 3

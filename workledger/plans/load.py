@@ -6,13 +6,14 @@ import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from workledger.operators.classify import accepted_events, classify, rejected_lines
 from workledger.operators.latest import latest_events
 from workledger.operators.merge import changed_events, changed_rows
 from workledger.plans.checks import constraint_violations
-from workledger.plans.stats import already_loaded, ingest_stats, ingestion_run_row
+from workledger.plans.kept import refresh
+from workledger.plans.stats import already_loaded, ingest_stats, ingestion_run_row, one_row
 from workledger.plans.warehouse import EVENTS, KEYS, REJECTS, REPLAYED, RUNS, State, Warehouse
 from workledger.schemas import STORE_FILE, TECHNICIAN_FILE
 from workledger.session import configure, materialize
@@ -70,11 +71,13 @@ def classify_batch(
     known_stores: DataFrame,
     known_technicians: DataFrame,
     files: DataFrame | None = None,
+    earlier_lines: DataFrame | None = None,
 ) -> Batch:
     """Classify scanned lines and write the result once for all later steps."""
     lines = scanned.withColumn("digest", line_digest(F.col("raw")))
     classified = classify(lines, known_stores, known_technicians, profile)
-    return Batch(number_rows(materialize(classified, "classified")), stores, technicians, files)
+    numbered = number_rows(materialize(classified, "classified"), earlier_lines=earlier_lines)
+    return Batch(numbered, stores, technicians, files)
 
 
 def dry_run(spark: SparkSession, source_dir: str, profile: str = "strict") -> DataFrame:
@@ -116,8 +119,12 @@ def load_lines(
     now: datetime | None = None,
     files: DataFrame | None = None,
     is_retry: bool = False,
+    earlier_lines: DataFrame | None = None,
 ) -> str:
-    """Load scanned lines, with the reference files of ``reference_dir``."""
+    """Load scanned lines, with the reference files of ``reference_dir``.
+
+    ``earlier_lines`` counts, per ``source_file``, the lines that came in earlier loads.
+    """
     run_id = run_id or str(uuid.uuid4())
     tables = Warehouse(spark, warehouse)
     state = tables.state()
@@ -126,7 +133,7 @@ def load_lines(
         return run_id
     tables.mark(run_id, "STARTED")
     try:
-        return _load(tables, state, scanned, files, reference_dir, profile, run_id, now, recorded)
+        return _load(tables, state, scanned, files, reference_dir, profile, run_id, now, recorded, earlier_lines)
     except Exception:
         tables.mark(run_id, "FAILED")
         raise
@@ -142,6 +149,7 @@ def _load(
     run_id: str,
     now: datetime | None,
     recorded: bool,
+    earlier_lines: DataFrame | None,
 ) -> str:
     spark = tables.spark
     seen_at = F.lit(now or datetime.now(timezone.utc)).cast("timestamp")
@@ -155,7 +163,7 @@ def _load(
     known = [stores.clean, technicians.clean]
     if profile == "staged":
         known = [tables.table("stores", state), tables.table("technicians", state)]
-    batch = classify_batch(scanned, stores, technicians, profile, *known, files)
+    batch = classify_batch(scanned, stores, technicians, profile, *known, files, earlier_lines)
 
     checksum = materialize(batch.checksum, "checksum")
     earlier = already_loaded(checksum, tables.table(RUNS, state)).first()
@@ -166,9 +174,8 @@ def _load(
     if recorded:
         raise ValueError(f"run {run_id} is recorded with other content")
 
-    events, buckets = tables.touched(EVENTS, batch.current.withColumn("raw_payload", F.parse_json("raw")), state)
-    stored = tables.partitions(EVENTS, state, buckets)
-    changes, written[EVENTS] = tables.put(EVENTS, changed_events(stored, events.drop("bucket"), seen_at), state, load)
+    events, changes, stored_in = _store_events(tables, state, load, batch.current, seen_at)
+    written |= stored_in
     stats = materialize(batch.stats(checksum, events), "stats")
     rejects = tables.append(REJECTS, reject_rows(batch.rejects, run_id, seen_at), load)
     written[REJECTS] = []
@@ -183,6 +190,16 @@ def _load(
     return run_id
 
 
+def _store_events(
+    tables: Warehouse, state: State, load: str, current: DataFrame, seen_at: Column
+) -> tuple[DataFrame, DataFrame, dict[str, list[int]]]:
+    """Merge events, one version each, into the stored ones; returns them, those that changed something, and the buckets written."""
+    events, buckets = tables.touched(EVENTS, current.withColumn("raw_payload", F.parse_json("raw")), state)
+    stored = tables.partitions(EVENTS, state, buckets)
+    changes, written = tables.put(EVENTS, changed_events(stored, events.drop("bucket"), seen_at), state, load)
+    return events, changes, {EVENTS: written} | refresh(tables, state, load, changes, stored)
+
+
 def reject_rows(rejects: DataFrame, run_id: str, seen_at) -> DataFrame:
     """Rows of the reject table; the id is the same whenever the run is repeated."""
     return rejects.select(
@@ -245,23 +262,21 @@ def load_replay(
             return None
         load = tables.new_load(state)
         current = latest_events(passed).drop("run_id")
-        events, buckets = tables.touched(EVENTS, current.withColumn("raw_payload", F.parse_json("raw")), state)
-        stored = tables.partitions(EVENTS, state, buckets)
-        changes, written = tables.put(EVENTS, changed_events(stored, events.drop("bucket"), seen_at), state, load)
+        events, changes, written = _store_events(tables, state, load, current, seen_at)
         noted = passed.select("run_id", "source_file", "source_row_number", F.lit(run_id).alias("replay_run_id"), seen_at.alias("replayed_at"))
         tables.append(REPLAYED, noted, load)
         digested = passed.select(F.concat_ws("/", F.lit("replay"), "run_id", "source_file").alias("source_file"), "source_row_number", line_digest(F.col("raw")).alias("digest"))
-        counts = passed.agg(F.count_distinct("source_file").alias("file_count"), F.count("*").alias("record_count"))
+        counted = passed.agg(F.count_distinct("source_file").alias("file_count"), F.count("*").alias("record_count"))
         unique = events.agg(F.count("*").alias("unique_event_count"))
         completed = F.current_timestamp() if now is None else seen_at
-        run = batch_checksum(digested).crossJoin(counts).crossJoin(unique).select(
+        run = one_row(batch_checksum(digested), counted, unique).select(
             F.lit(run_id).alias("run_id"), "source_checksum", "file_count", "record_count", "unique_event_count",
             F.lit(0).cast("long").alias("rejected_count"), completed.alias("completed_at"),
         )
         broken = constraint_violations(**{EVENTS: changes, RUNS: run}).filter("violations > 0").collect()
         if broken:
             raise ValueError("; ".join(f"{r.table_name}.{r.column_name} {r.constraint_kind}: {r.violations}" for r in broken))
-        tables.publish(state, load, {EVENTS: written, REPLAYED: []}, run)
+        tables.publish(state, load, {**written, REPLAYED: []}, run)
         return run_id
     except Exception:
         tables.mark(run_id, "FAILED")

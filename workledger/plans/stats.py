@@ -11,7 +11,7 @@ from workledger.operators.latest import latest_events
 REFERENCE_FILES = 2
 
 
-def _one_row(*parts: DataFrame) -> DataFrame:
+def one_row(*parts: DataFrame) -> DataFrame:
     """Bring one-row tables with different columns together in one row."""
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return stacked.agg(*(F.max(name).alias(name) for name in stacked.columns))
@@ -61,7 +61,7 @@ def ingest_stats(
     ]
     if checksum is not None:
         parts.append(checksum)
-    row = _one_row(*parts)
+    row = one_row(*parts)
     return row.select(
         (F.col("event_files") + REFERENCE_FILES).alias("files_read"),
         "records_read",
@@ -94,3 +94,21 @@ def ingestion_run_row(stats: DataFrame, run_id: str, completed_at: Column) -> Da
 def already_loaded(batches: DataFrame, runs: DataFrame) -> DataFrame:
     """Those of ``batches`` whose checksum a run has recorded, with its ``run_id``."""
     return batches.join(runs.select("source_checksum", "run_id"), "source_checksum")
+
+
+# Registers of a sketch, as a power of two: a standard error of about 0.8 %, 8 KB a sketch.
+SKETCH_REGISTERS = 14
+
+
+def distinct_sketches(rows: DataFrame, by: str, *columns: str, registers: int = SKETCH_REGISTERS) -> DataFrame:
+    """Per value of ``by`` a mergeable sketch of the distinct values of each column.
+
+    The opt-in beside exact counts: sketches of runs are kept and put together
+    later, where exact counts would need all rows again.
+    """
+    return rows.groupBy(by).agg(*(F.hll_sketch_agg(column, registers).alias(column) for column in columns))
+
+
+def sketched_counts(sketches: DataFrame, *columns: str) -> DataFrame:
+    """One row: the estimated number of distinct values over all sketches of each column."""
+    return sketches.agg(*(F.hll_sketch_estimate(F.hll_union_agg(column)).alias(column) for column in columns))

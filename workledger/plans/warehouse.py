@@ -26,6 +26,9 @@ EVENTS = "work_order_events"
 REJECTS = "rejected_records"
 REPLAYED = "replayed_rejects"
 RUNS = "ingestion_runs"
+HISTORY = "work_order_history"
+SUMMARY = "kept_work_order_summary"
+SEQUENCES = "kept_abnormal_sequences"
 TABLES = {
     EVENTS: schemas.WORK_ORDER_EVENTS,
     REJECTS: schemas.REJECTED_RECORDS,
@@ -33,10 +36,15 @@ TABLES = {
     RUNS: schemas.INGESTION_RUNS,
     "stores": schemas.STORES,
     "technicians": schemas.TECHNICIANS,
+    HISTORY: schemas.WORK_ORDER_HISTORY,
+    SUMMARY: schemas.WORK_ORDER_SUMMARY,
+    SEQUENCES: schemas.ABNORMAL_SEQUENCES,
 }
+# Kept up to date by every load, if asked for once.
+KEPT = (HISTORY, SUMMARY, SEQUENCES)
 APPENDED = (REJECTS, REPLAYED)
 # The column whose hash gives the bucket; other tables are appended to.
-KEYS = {EVENTS: "event_id", "stores": "store_id", "technicians": "technician_id"}
+KEYS = {EVENTS: "event_id", "stores": "store_id", "technicians": "technician_id"} | dict.fromkeys(KEPT, "work_order_id")
 
 # Buckets of a new warehouse. A bucket is what a correction rewrites, so large
 # warehouses take more: at most as many as partitions one wants to list.
@@ -69,6 +77,7 @@ class State:
     buckets: int = BUCKETS
     live: dict[str, dict[int, str]] = field(default_factory=dict)
     appended: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    kept: bool = False
 
     def of(self, table: str) -> dict[int, str]:
         return self.live.get(table, {})
@@ -83,7 +92,7 @@ def bucket_of(key: Column, buckets: int) -> Column:
 
 def buckets_of(table: str, buckets: int) -> int:
     """Stores and technicians are a small part of the events, and so are their buckets."""
-    return buckets if table == EVENTS else -(-buckets // 16)
+    return -(-buckets // 16) if table in ("stores", "technicians") else buckets
 
 
 class Warehouse:
@@ -106,7 +115,7 @@ class Warehouse:
     def state(self) -> State:
         """The loads that are visible now: a row per bucket and one per load come to the driver."""
         commits = self.commits()
-        last = commits.agg(F.max("sequence").alias("sequence"), F.max("buckets").alias("buckets")).first()
+        last = commits.agg(F.max("sequence").alias("sequence"), F.max("buckets").alias("buckets"), F.bool_or(F.map_contains_key("written", HISTORY)).alias("kept")).first()
         if last.sequence is None:
             return State(buckets=self.buckets)
         written = commits.select("sequence", "load", F.explode("written").alias("table", "of"))
@@ -117,28 +126,16 @@ class Warehouse:
         gone = commits.select(F.explode("replaced").alias("load"))
         loads = written.filter(F.col("table").isin(*APPENDED)).join(gone, "load", "left_anti").sort("sequence").collect()
         appended = {name: tuple(row.load for row in loads if row.table == name) for name in APPENDED}
-        return State(last.sequence, last.buckets, live, appended)
+        return State(last.sequence, last.buckets, live, appended, last.kept)
 
     def publish(self, state: State, load: str, written: dict[str, list[int]], run: DataFrame | None = None, replaced: list[str] | None = None) -> None:
         """Make the load visible, by one row. Fails if another load published since ``state`` was read."""
         if self.state().sequence != state.sequence:
             raise RuntimeError("another load published meanwhile")
-        if run is None:
-            run = self.spark.createDataFrame([(None,) * len(schemas.INGESTION_RUNS)], schemas.INGESTION_RUNS)
-            kind = "REFRESH" if replaced is None else "COMPACT"
-        else:
-            kind = "RUN"
-        # The names are a few, the buckets as many as the warehouse has.
-        tables = self.spark.createDataFrame([(written, replaced or [])], T.StructType(_COMMITS.fields[-2:]))
-        row = run.crossJoin(tables).withColumns(
-            {
-                "kind": F.lit(kind),
-                "sequence": F.lit(state.sequence + 1).cast("long"),
-                "load": F.lit(load),
-                "buckets": F.lit(state.buckets).cast("int"),
-            }
-        )
-        row.select(*_COMMITS.fieldNames()).coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
+        kind = "RUN" if run is not None else "REFRESH" if replaced is None else "COMPACT"
+        audit = run.select(*schemas.INGESTION_RUNS.fieldNames()).first() if run is not None else (None,) * len(schemas.INGESTION_RUNS)
+        row = (*audit, kind, state.sequence + 1, load, state.buckets, written, replaced or [])
+        self.spark.createDataFrame([row], _COMMITS).coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
 
     def create(self) -> None:
         """Give tables without rows their columns, for readers of the folders themselves (views)."""
@@ -169,6 +166,11 @@ class Warehouse:
         if not places:
             return self.spark.createDataFrame([], schema)
         base = f"{self.root}/{name}"
+        if name in KEPT:  # the last row of a bucket may have gone
+            files = self._files()
+            places = [place for place in places if files.exists(self._path(f"{name}/{place}"))]
+            if not places:
+                return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).option("basePath", base).parquet(*[f"{base}/{place}" for place in places])
 
     def lookup(self, name: str, keys: list, state: State | None = None) -> DataFrame:
@@ -187,18 +189,22 @@ class Warehouse:
         placed = materialize(rows.withColumn("bucket", bucket_of(F.col(KEYS[name]), buckets_of(name, state.buckets))), name)
         return placed, sorted(row.bucket for row in placed.select("bucket").distinct().collect())
 
-    def put(self, name: str, changes: DataFrame, state: State, load: str) -> tuple[DataFrame, list[int]]:
+    def put(self, name: str, changes: DataFrame, state: State, load: str, keys: DataFrame | None = None) -> tuple[DataFrame, list[int]]:
         """Write the buckets that ``changes`` touch anew: the stored rows, less those of the same keys, and the changes.
 
-        Returns the changes as written and the buckets. Nothing is written where nothing changes.
+        If ``keys`` are given, these are the keys whose stored rows go. Returns the
+        changes as written and the buckets. Nothing is written where nothing changes.
         """
-        placed, buckets = self.touched(name, changes, state)
+        key, names = KEYS[name], [*TABLES[name].fieldNames(), "bucket"]
+        placed, buckets = self.touched(name, changes.select(*TABLES[name].fieldNames()), state)
+        gone = placed.select("bucket", key)
+        if keys is not None:
+            gone, buckets = self.touched(name, keys.select(key), state)
         if buckets:
-            key, names = KEYS[name], [*TABLES[name].fieldNames(), "bucket"]
             stored = self.partitions(name, state, buckets).select(*names)
-            kept = stored.join(placed.select("bucket", key), ["bucket", key], "left_anti")
+            kept = stored.join(gone, ["bucket", key], "left_anti")
             # Rows of a bucket come together, and a large bucket is split again by size.
-            rows = kept.select(*names).unionByName(placed.select(*names)).hint("rebalance", F.col("bucket"))
+            rows = kept.unionByName(placed.select(*names)).hint("rebalance", F.col("bucket"))
             rows.withColumn("load", F.lit(load)).write.mode("append").partitionBy("bucket", "load").parquet(f"{self.root}/{name}")
         return placed, buckets
 

@@ -74,6 +74,26 @@ INGESTION_RUNS = T.StructType(
     ]
 )
 
+_TIMES = [T.StructField("event_timestamp_utc", T.TimestampType()), T.StructField("updated_at_utc", T.TimestampType())]
+
+# What the analyses read of an event, for keeping them up to date by work order.
+WORK_ORDER_HISTORY = T.StructType(
+    _strings("work_order_id", "event_id", "event_type")
+    + _TIMES
+    + _strings("client_id", "store_id", "technician_id", "priority")
+    + [T.StructField("labor_minutes", T.LongType())]
+)
+
+WORK_ORDER_SUMMARY = T.StructType(
+    _strings("work_order_id", "client_id", "store_id", "technician_id", "priority")
+    + [T.StructField("opened_timestamp", T.TimestampType()), T.StructField("closed_timestamp", T.TimestampType())]
+    + _strings("current_status")
+    + [T.StructField(name, T.LongType()) for name in ("total_labor_minutes", "event_count", "reopen_count")]
+    + [T.StructField("resolution_hours", T.DoubleType()), T.StructField("last_updated_timestamp", T.TimestampType())]
+)
+
+ABNORMAL_SEQUENCES = T.StructType(_strings("work_order_id", "previous_event_type", "event_type") + _TIMES[:1])
+
 # Rejects that were loaded later on, and the run that did.
 REPLAYED_REJECTS = T.StructType(
     _strings("run_id", "source_file")

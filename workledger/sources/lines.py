@@ -74,11 +74,14 @@ def event_files(spark: SparkSession, source_dir: str, pattern: str = EVENT_FILE_
     return spark.createDataFrame([(name,) for name in sorted(names)], "source_file string")
 
 
-def number_rows(rows: DataFrame, first: int = 1, max_broadcast: int = MAX_BROADCAST_BLOCKS) -> DataFrame:
+def number_rows(
+    rows: DataFrame, first: int = 1, max_broadcast: int = MAX_BROADCAST_BLOCKS, earlier_lines: DataFrame | None = None
+) -> DataFrame:
     """Replace the scan position by ``source_row_number``.
 
     ``rows`` must be a written table: the position columns of a scan may differ
-    between two readings, those of a table do not.
+    between two readings, those of a table do not. ``earlier_lines`` has, per
+    ``source_file``, the ``lines`` that were numbered before these.
     """
     block = ["source_file", "file_part", "block_start"]
     blocks = rows.groupBy(*block).agg(F.count("*").alias("n"), F.min("running_id").alias("first_id"))
@@ -92,6 +95,9 @@ def number_rows(rows: DataFrame, first: int = 1, max_broadcast: int = MAX_BROADC
         *block,
         (F.coalesce(F.sum("n").over(earlier), F.lit(0)) + first - F.col("first_id")).alias("shift"),
     )
+    if earlier_lines is not None:
+        offsets = offsets.join(earlier_lines, "source_file", "left")
+        offsets = offsets.withColumn("shift", F.col("shift") + F.coalesce("lines", F.lit(0))).drop("lines")
     # Written once: every reader of the numbered rows joins it.
     offsets = materialize(offsets, "blocks")
     if offsets.count() <= max_broadcast:

@@ -5,11 +5,16 @@ is merged into the event table by key. The run id is that of the query, which it
 checkpoint keeps, and of the micro-batch: a repeated micro-batch has the run id of
 the first attempt and adds nothing if that was recorded, also when the reference
 files have changed since.
+
+The lines of every event file are counted per micro-batch, beside the checkpoint. So
+the parts of a file may come in several micro-batches: their numbers go on
+where those of the parts before them ended, as in one batch. Parts must land in
+their order; one that lands after a later part is numbered behind it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from workledger.plans.load import load_lines
@@ -27,10 +32,9 @@ def ingest_stream(
     profile: str = "strict",
     max_files: int | None = None,
 ) -> StreamingQuery:
-    """Load all files not loaded before and stop; call again for later files.
+    """Load all files not loaded before and stop; call again for later files, or parts of files.
 
-    ``max_files`` is for event files that are single files: the line numbers of a
-    folder of part files run on over the parts, so its parts must come together.
+    A micro-batch takes ``max_files`` files, or parts of files, at most.
     """
     configure(spark)
     reader = spark.readStream.format("text")
@@ -40,12 +44,16 @@ def ingest_stream(
     lines = with_place(scan.withColumnRenamed("value", "raw"), EVENT_FILE_PATTERN)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        if max_files is not None and not batch.filter("file_part <> source_file").isEmpty():
-            raise ValueError("max_files would part an event file that is a folder of part files")
-        query = batch.sparkSession.read.json(f"{checkpoint.rstrip('/')}/metadata").first().id
+        spark = batch.sparkSession
+        query = spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first().id
         run_id = f"{name}-{query}-{batch_id}"
+        counts = f"{checkpoint.rstrip('/')}/line_counts"
+        # Repeated with the micro-batch, to the same content.
+        batch.groupBy("source_file").agg(F.count("*").alias("lines")).write.mode("overwrite").parquet(f"{counts}/batch={batch_id}")
+        earlier = spark.read.schema("source_file string, lines long, batch long").parquet(counts).filter(F.col("batch") < batch_id)
+        earlier = earlier.groupBy("source_file").agg(F.sum("lines").alias("lines"))
         scanned = with_running_id(batch)
-        load_lines(batch.sparkSession, scanned, source_dir, warehouse, profile, run_id, is_retry=True)
+        load_lines(spark, scanned, source_dir, warehouse, profile, run_id, is_retry=True, earlier_lines=earlier)
 
     return (
         lines.writeStream.foreachBatch(load)
