@@ -469,35 +469,80 @@ def test_every_cut_has_the_grams_of_the_whole_text(monkeypatch):
             assert {every[k] for k in np.flatnonzero(present[0])} == expected and (present[0] == present[2]).all()
 
 
+def test_shared_bytes_are_tallied():
+    rng = np.random.default_rng(5)
+    a = rng.integers(0, 2**64, 500, dtype=np.uint64)
+    b = a ^ (rng.integers(0, 2**64, 500, dtype=np.uint64) & rng.integers(0, 2**64, 500, dtype=np.uint64) & rng.integers(0, 2**64, 500, dtype=np.uint64))
+    plain = [sum(x == y for x, y in zip(int(p).to_bytes(8, "little"), int(q).to_bytes(8, "little"), strict=True)) for p, q in zip(a, b, strict=True)]
+    assert simhash._shared_bytes(a ^ b).tolist() == plain and len(set(plain)) > 3
+
+
 # --- token counts -------------------------------------------------------------
 
 
+def plain_edges(word, scores, floor, longest):
+    """Per end the (begin, piece, score) of every piece that ends there, or of an unknown character's bytes."""
+    out = [[]]
+    for end in range(1, len(word) + 1):
+        here = [(a, word[a:end], scores[word[a:end]]) for a in range(max(0, end - longest), end) if word[a:end] in scores]
+        if word[end - 1] not in scores:
+            here.append((end - 1, None, len(word[end - 1].encode()) * floor))
+        out.append(here)
+    return out
+
+
 def test_token_counts(docs, none):
     pieces = token_counts.read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
-    counter = token_counts.Counter(pieces)
-
-    def plain(word):
-        best = [(0.0, 0)]
-        for end in range(1, len(word) + 1):
-            found = [
-                (best[a][0] + counter.scores[word[a:end]], best[a][1] - 1) for a in range(end) if word[a:end] in counter.scores
-            ]
-            if word[end - 1] not in counter.scores:
-                n = len(word[end - 1].encode())
-                found.append((best[end - 1][0] + n * counter.floor, best[end - 1][1] - n))
-            best.append(max(found))
-        return -best[-1][1]
-
-    known = {}
-    for row in token_counts.count_tokens(docs, pieces).collect():
-        words = re.findall(r"[^\x20\x09-\x0D]+", row.text or "")
-        for w in words:
-            known.setdefault(w, plain("▁" + w) if len(w) < 300 else counter.count_long("▁" + w))
-        assert (row.n_words, row.n_tokens) == (len(words), sum(known[w] for w in words))
+    estimated = token_counts.estimate_scores(docs, pieces)
+    for scores in (token_counts.scores_by_rank(pieces), estimated):
+        known = dict(zip(pieces, scores, strict=True))
+        floor, longest = min(scores) - token_counts.UNKNOWN_PENALTY, max(map(len, pieces))
+
+        def plain(word):
+            best = [(0.0, 0)]
+            for here in plain_edges(word, known, floor, longest)[1:]:
+                best.append(max((best[a][0] + s, best[a][1] - (1 if p else round(s / floor))) for a, p, s in here))
+            return -best[-1][1]
+
+        counts = {}
+        for row in token_counts.count_tokens(docs, pieces, scores=scores).collect():
+            words = re.findall(r"[^\x20\x09-\x0D]+", row.text or "")
+            for w in words:
+                if w not in counts:
+                    counts[w] = plain("▁" + w)
+            assert (row.n_words, row.n_tokens) == (len(words), sum(counts[w] for w in words))
+    counter = token_counts.Counter(pieces, estimated)
     assert counter.count_long("▁international") == counter.count(["▁international"])[0]
     assert token_counts.count_tokens(none, pieces).count() == 0
 
 
+def test_scores_are_those_of_plain_expectation_maximisation(spark):
+    rng = random.Random(9)
+    pieces = ["▁", "a", "b", "ab", "ba", "aba", "▁a", "bb", "▁ab", "c"]
+    words = ["".join(rng.choices("abcé", [5, 4, 1, 0.3], k=rng.randrange(1, 9))) for _ in range(60)] + ["ab" * 300, "é", "abé" * 200]
+    texts = [" ".join(rng.choices(words, k=20)) for _ in range(30)] + [None, "", " \n"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    scores = dict(zip(pieces, token_counts.scores_by_rank(pieces), strict=True))
+    total = Counter(w for t in texts for w in (t or "").split())
+    for _ in range(3):
+        floor, seen = min(scores.values()) - token_counts.UNKNOWN_PENALTY, dict.fromkeys(pieces, token_counts.UNSEEN)
+        for word, n in total.items():
+            edges = plain_edges("▁" + word, scores, floor, 3)
+            size = len(word) + 1
+            forward, behind = [0.0] + [-np.inf] * size, [-np.inf] * size + [0.0]
+            for end in range(1, size + 1):
+                for a, _, s in edges[end]:
+                    forward[end] = np.logaddexp(forward[end], forward[a] + s)
+            for end in range(size, 0, -1):
+                for a, p, s in edges[end]:
+                    behind[a] = np.logaddexp(behind[a], s + behind[end])
+                    if p:
+                        seen[p] += n * np.exp(forward[a] + s + behind[end] - forward[size])
+        scores = {p: float(np.log(c / sum(seen.values()))) for p, c in seen.items()}
+    found = token_counts.estimate_scores(docs, pieces, rounds=3)
+    assert np.abs(np.array(found) - np.array(list(scores.values()))).max() < 1e-7
+
+
 def test_folds_and_samples(spark):
     from workledger.llm.common import held_out, labelled_sample
 

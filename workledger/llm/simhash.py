@@ -3,8 +3,9 @@
 Two 64-bit fingerprints that differ in at most 3 bits agree in at least 5 of
 their 8 positional bytes. The index is keyed by what such a count guarantees: by
 every choice of 5 positions with the 5 bytes there. Two fingerprints share a key
-exactly if their tally of shared positional bytes reaches 5, so pairs below the
-minimum are never formed; those above it are verified by their differing bits.
+if their tally of shared positional bytes reaches 5, so pairs below the minimum
+are never formed. The equal bytes of every pair that meets are counted, pairs below the
+minimum go, and the rest is verified by the differing bits.
 
 Equal fingerprints are one entry of the index. A posting list longer than
 ``BLOCK`` is dealt into blocks, and every two blocks meet in a task of their own.
@@ -15,7 +16,8 @@ those links, each written to the shared folder.
 Defined cases: null and empty texts have fingerprint zero and are linked like
 any other; documents without id take part, and a component without any id has a
 null ``component_id``; repeated ids are kept as rows, each with its own
-fingerprint; an empty table gives an empty result.
+fingerprint; texts of any length are read whole, some words at a time; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -90,6 +92,11 @@ def index(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return posted.select(F.col("m.choice").alias("choice"), F.col("fp").bitwiseAND(F.col("m.mask")).alias("bytes"), "fp")
 
 
+def _shared_bytes(differ: np.ndarray) -> np.ndarray:
+    """The tally of a pair: positions whose bytes are equal, from the exclusive or of its fingerprints."""
+    return (np.ascontiguousarray(differ).view(np.uint8).reshape(-1, 8) == 0).sum(1)
+
+
 def _components(group: np.ndarray, fp: np.ndarray, max_bits: int) -> np.ndarray:
     """Per entry the smallest index that it is linked to within its group, by way of others too.
 
@@ -107,7 +114,10 @@ def _components(group: np.ndarray, fp: np.ndarray, max_bits: int) -> np.ndarray:
     reach = ends - np.arange(n)
     for d in range(1, int(reach.max(initial=1))):
         i = np.flatnonzero(reach > d)
-        i = i[np.bitwise_count(fp[i] ^ fp[i + d]) <= max_bits]
+        differ = fp[i] ^ fp[i + d]
+        enough = _shared_bytes(differ) >= positions_needed(max_bits)
+        i, differ = i[enough], differ[enough]
+        i = i[np.bitwise_count(differ) <= max_bits]
         while len(i := i[parent[i] != parent[i + d]]):
             a, b = parent[i], parent[i + d]
             np.minimum.at(parent, np.maximum(a, b), np.minimum(a, b))
