@@ -6,7 +6,8 @@ So the longest-match proposal of each distinct word is tested pair by pair, in
 arrays, and only words with a failing pair go through the merges themselves.
 
 Defined cases: null text gives no tokens, like the empty text; null ids decode to the
-empty text; equal rows give equal results; input columns named like an output
+empty text; equal rows give equal results; texts of any length are coded whole; an
+empty table gives an empty result; input columns named like an output
 (``ids``, ``decoded``) are replaced.
 """
 

@@ -12,7 +12,8 @@ of documents with hits; one aggregation puts them together.
 
 Defined cases: null and empty texts have no words, no hits and are clean;
 items without text, without id (unless they are asked for) and items without words match nothing; equal items are all reported;
-an empty benchmark leaves every document clean. Output columns replace input
+an empty benchmark leaves every document clean; texts of any length are scanned
+whole and equal rows give equal results. Output columns replace input
 columns of the same names.
 """
 

@@ -8,7 +8,7 @@ so that a dictionary counts for every part of them.
 
 Defined cases: null and empty texts get the score of a difference of zero; equal
 texts get equal scores; without labelled texts of both kinds every score is 0.5;
-texts of any length are read whole. Output columns replace input columns of the
+texts of any length are read whole; an empty table gives an empty result. Output columns replace input columns of the
 same names.
 """
 

@@ -9,7 +9,8 @@ of a yes-or-no label there is one threshold.
 
 Defined cases: null and empty texts have no evidence; words never seen in
 training say nothing; equal texts get equal results; with one grade or no
-labelled text every severity is 0. Output columns replace input columns of the
+labelled text every severity is 0; texts of any length are read whole; an empty
+table gives an empty result. Output columns replace input columns of the
 same names.
 """
 

@@ -11,7 +11,8 @@ revisit of it, without payload.
 
 Defined cases: null pages are empty payloads, null urls an empty target; pages
 without id count as smaller than all others; rows that repeat the largest id of
-their payload are all responses; an empty table gives no archive and no records.
+their payload are all responses; pages of any length are one record each; columns
+besides id, address and content are not carried; an empty table gives no archive and no records.
 """
 
 from __future__ import annotations
