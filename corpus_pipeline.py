@@ -2,6 +2,14 @@
 
 A stage takes (spark, docs, sf_dir) and returns a table; ``run`` writes each as
 Parquet into the shared folder and reads it again for the next.
+
+Defined cases, for every stage: a null text is an empty one (no evidence, fingerprint
+zero, no words, no secrets, no tokens) and its row is kept or dropped as such; texts of
+any length are read whole; rows without id and repeated ids are rows like any
+other; equal rows are equal near duplicates, of which one stays, and get equal results
+elsewhere; an empty table gives an empty one; further columns are carried
+unchanged, whatever their names, up to the last stage, which returns the
+id and its own columns.
 """
 
 from __future__ import annotations
