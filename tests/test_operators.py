@@ -7,6 +7,8 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+import workledger.operators.ranks  # noqa: F401
+from workledger import operators
 from workledger.operators.existence import flag_known, unknown_references
 from workledger.operators.merge import merge_latest, upsert
 from workledger.operators.previous import heavy_keys, with_previous
@@ -149,14 +151,17 @@ def test_analyses_of_nothing(spark):
     assert marts.technician_close_rank(summary).count() == 0
 
 
-@pytest.mark.parametrize("ranges, max_broadcast", [(1, 10), (4, 0), (64, 10)])
-def test_ranks_by_ranges(spark, ranges, max_broadcast):
+@pytest.mark.parametrize("ranges, max_broadcast", [(None, 10), (None, 0), (1, 10), (4, 0), (64, 10)])
+def test_ranks_by_ranges(spark, monkeypatch, ranges, max_broadcast):
     closed = [f"T{n % 40}" for n in range(900) if n % 40 < n % 61] + [None] * 50
     rows = [(t, "CLOSED") for t in closed] + [("T1", "OPEN")] * 99
     found = marts.technician_close_rank(spark.createDataFrame(rows, "technician_id string, current_status string"), ranges, max_broadcast)
     counts = Counter(t for t in closed if t)
     order = sorted(set(counts.values()), reverse=True)
     assert {tuple(r) for r in found.collect()} == {(t, n, order.index(n) + 1) for t, n in counts.items()}
+    monkeypatch.setattr(operators.ranks, "MAX_IN_ONE_TASK", 3)
+    by_ranges = marts.technician_close_rank(spark.createDataFrame(rows, "technician_id string, current_status string"), ranges, max_broadcast)
+    assert sorted(by_ranges.collect()) == sorted(found.collect())
     numbered = row_numbers(spark.createDataFrame([(n,) for n in (5, 3, None, 9, 7)], "n int"), [F.col("n").isNull(), F.col("n")], "place", ranges)
     assert {(r.n, r.place) for r in numbered.collect()} == {(3, 1), (5, 2), (7, 3), (9, 4), (None, 5)}
 

@@ -31,6 +31,8 @@ def row_numbers(df: DataFrame, order: Sequence[Column], alias: str, ranges: int
 
 # Distinct values, a rank each, that may be broadcast: some tens of bytes each.
 MAX_BROADCAST_VALUES = 1_000_000
+# Distinct values that one task may number.
+MAX_IN_ONE_TASK = 100_000
 
 
 def dense_ranks(
@@ -38,10 +40,13 @@ def dense_ranks(
 ) -> DataFrame:
     """Add ``alias``: the dense rank of the row by falling ``column``.
 
-    The distinct values are numbered by ranges and joined back, broadcast if they were counted to be few.
+    The distinct values are counted. Few are numbered by one task; many, or any if
+    ``ranges`` is given, by ranges. The ranks are joined back, broadcast if they are few enough.
     """
-    values = df.select(column).distinct()
-    ranks = materialize(row_numbers(values, [F.desc(column)], alias, ranges), "ranks")
-    if ranks.count() <= max_broadcast:
-        ranks = F.broadcast(ranks)
-    return df.join(ranks, column)
+    values, order = df.select(column).distinct(), [F.desc(column)]
+    number = values.limit(max(max_broadcast, MAX_IN_ONE_TASK) + 1).count()
+    if ranges is None and number <= MAX_IN_ONE_TASK:
+        ranks = values.withColumn(alias, F.row_number().over(Window.orderBy(*order)))
+    else:
+        ranks = row_numbers(values, order, alias, ranges)
+    return df.join(F.broadcast(ranks) if number <= max_broadcast else ranks, column)
