@@ -193,6 +193,44 @@ def test_contamination_holds_one_automaton_a_stage_and_equals_the_sql(spark, doc
     assert_equals_sql(spark, all_docs, items, tmp_path)
 
 
+def plain_contamination(items, text):
+    words, hit, found = decontamination.words_of(text), set(), set()
+    for name, own in ((name, decontamination.words_of(t)) for name, t in items):
+        size = min(13, len(own))
+        windows = {tuple(own[i : i + size]) for i in range(len(own) - size + 1)} if own else set()
+        for at in range(len(words) - size + 1):
+            if tuple(words[at : at + size]) in windows:
+                hit.update(range(at, at + size))
+                found.add(name)
+    return len(words), sorted(hit), sorted(found, key=lambda name: name or "")
+
+
+@pytest.mark.parametrize("lane", [1, 5, 64])
+@pytest.mark.parametrize("letters", ["ab", "abcdefgh"])
+def test_the_automaton_equals_brute_force(monkeypatch, lane, letters):
+    """Items of all lengths that overlap, repeat and end in one another; lanes that cut every window."""
+    monkeypatch.setattr(decontamination, "LANE", lane)
+    rng = random.Random(lane)
+
+    def some(n):
+        return " ".join(rng.choice(letters) for _ in range(n))
+
+    for _ in range(60):
+        items = [(rng.choice([None, "1", str(i)]), some(rng.choice([0, 2, 3, 12, 13, 14, 20, 40]))) for i in range(rng.randint(0, 6))]
+        parts = [" ".join(t for _, t in items)[rng.randint(0, 60) :][: rng.randint(0, 200)] for _ in range(5)]
+        texts = [None, "", *[f"{some(rng.randint(0, 80))} zz {part} {some(3)}" for part in parts]]
+        found = decontamination.Automaton(items).scan_all(texts)
+        assert [f[:3] for f in found] == [plain_contamination(items, t) for t in texts]
+
+
+def test_the_automatons_size_is_bounded_by_the_items():
+    rng = random.Random(4)
+    dense = [("1", " ".join(chr(rng.randint(0x100, 0x2FF)) for _ in range(20_000)))]  # the shortest words, all windows different
+    prose = [(str(n), " ".join(rng.choice(["of", "question", "answer", "river", "the"]) + str(rng.randint(0, 99)) for _ in range(60))) for n in range(300)]
+    for items in (dense, prose):
+        assert decontamination.Automaton(items).nbytes() < 100 * sum(len(t) for _, t in items)
+
+
 def test_items_without_id_count_as_in_the_sql(spark, monkeypatch, tmp_path):
     from corpus_pipeline import drop_contaminated
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 HELD_OUT = 1
@@ -62,9 +62,11 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*[F.col(f"`{name}`") for name in df.columns if name.lower() not in taken])
 
 
-def portable(function: Callable) -> Callable:
+def portable(function: Callable, shared: Broadcast | None = None) -> Callable:
     """``function`` for mapInArrow, also where workers were not told of this package's folder.
 
+    With ``shared`` the function gets the broadcast value too.
+
     On a cluster the package is installed or sent with ``--py-files``; a worker
     on the driver's machine finds it where the driver has it.
     """
@@ -78,18 +80,23 @@ def portable(function: Callable) -> Callable:
 
         if importlib.util.find_spec(package) is None:
             sys.path.append(root)
-        yield from pickle.loads(sent)(batches)
+        yield from pickle.loads(sent)(batches, *([] if shared is None else [shared.value]))
 
     return run
 
 
 def append_columns(
-    df: DataFrame, inputs: list[str], outputs: T.StructType, prepare: Callable[[], Callable[..., list]]
+    df: DataFrame,
+    inputs: list[str],
+    outputs: T.StructType,
+    prepare: Callable[..., Callable[..., list]],
+    shared: Broadcast | None = None,
 ) -> DataFrame:
     """Add the columns ``outputs``, computed from ``inputs`` batch by batch.
 
     Batches are cut at BATCH_BYTES, so long texts do not add up in a worker (a
-    text longer than that is a batch of its own). ``prepare`` runs once per task and returns a function from Arrow arrays to
+    text longer than that is a batch of its own). ``prepare`` runs once per task, on the value
+    of ``shared`` if there is one, and returns a function from Arrow arrays to
     as many lists or Arrow arrays. Input columns named like an output are replaced.
     """
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
@@ -101,8 +108,8 @@ def append_columns(
     )
     place = {c: c if c in passed else f"__in{i}" for i, c in enumerate(inputs)}
 
-    def run(batches):
-        compute = prepare()
+    def run(batches, *values):
+        compute = prepare(*values)
         from pyspark.sql.pandas.types import to_arrow_schema
 
         kinds = [to_arrow_schema(T.StructType([field])).field(0).type for field in outputs.fields]
@@ -113,7 +120,7 @@ def append_columns(
             yield pa.RecordBatch.from_arrays([*kept, *made], names=[*passed, *outputs.fieldNames()])
         pa.default_memory_pool().release_unused()  # the worker lives on
 
-    return sent.mapInArrow(portable(run), schema)
+    return sent.mapInArrow(portable(run, shared), schema)
 
 
 def least_hashed(examples: DataFrame, rows_per_label: int) -> list[tuple[int, object]]:

@@ -1,13 +1,13 @@
 """Benchmark decontamination: one scan of each text by an Aho-Corasick automaton.
 
 The patterns are the windows of 13 consecutive words of the normalised test
-questions and answers (a shorter item is one window), each between spaces. The automaton reads the
-normalised text, its words between single spaces, so a window matches at word
+questions and answers (a shorter item is one window). The automaton's letters are the words of the
+normalised text, so a window matches at word
 borders only, and every match leads back to the characters of the original text.
 
-The items are a stated query set. They are taken in blocks of a bounded size,
-each block is one automaton, and every text is scanned once per block. Of
-several blocks each is scanned in a job of its own, which writes the findings
+The items are a stated query set, and up to ``BLOCK_CHARS`` characters of them are one automaton in
+compact arrays: one job scans every text once. Only larger benchmarks are taken in blocks of
+that size, each an automaton and a job of its own, which writes the findings
 of documents with hits; one aggregation puts them together.
 
 Defined cases: null and empty texts have no words, no hits and are clean;
@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import itertools
 
-import ahocorasick
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
@@ -29,8 +28,10 @@ from workledger.llm.common import append_columns
 from workledger.session import fresh_folder, materialize
 
 WINDOW = 13
-# An automaton takes about 300 bytes for each character of its items.
-BLOCK_CHARS = 200_000
+# A state takes 14 bytes, a word makes WINDOW states at most and takes two characters at
+# least: an automaton takes less than 100 bytes for each character of its items, and about 30 for prose.
+BLOCK_CHARS = 12_000_000
+LANE = 64
 
 # Upper case becomes lower case and every ASCII byte that is no word byte a space.
 _NORMAL = bytes(
@@ -47,51 +48,188 @@ FOUND = T.StructType(
 )
 
 
+Findings = tuple[int, list[int], list[str | None], list[tuple[int, int]]]
+
+
 def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_NORMAL).split() if text else []
 
 
 class Automaton:
-    """All windows of a block of items in one automaton over normalised text."""
+    """All windows of a block of items in one Aho-Corasick automaton whose letters are words.
+
+    States are numbered by depth and then by path, so the children of a state
+    stand together, ordered by word. Arrays hold for each state where its children begin, the
+    word that leads to it, the longest other path that ends alike, and whether windows end.
+    """
 
     def __init__(self, items: list[tuple[str | None, str]]):
-        windows: dict[str, tuple[int, list[str]]] = {}
-        for name, text in items:
+        self.names = [name for name, _ in items]
+        number: dict[bytes, int] = {}
+        ids = [np.array([number.setdefault(w, len(number)) for w in words_of(text)], np.int32) for _, text in items]
+        self.vocabulary = list(number)
+        windows, owners = self._windows(ids)
+        # Windows in order of their words; of the rows of one window the first one stands for it.
+        order = np.lexsort((owners, *windows.T[::-1]))
+        windows, owners = windows[order], owners[order]
+        alike = np.zeros(len(windows), np.int8)  # leading words shared with the row before
+        same = np.ones(len(windows), bool)
+        same[:1] = False
+        for column in range(WINDOW):
+            same[1:] &= windows[1:, column] == windows[:-1, column]
+            alike += same
+        first_rows = np.flatnonzero(alike < WINDOW)
+        ends = self._states(windows[first_rows], alike[first_rows])
+        again = np.zeros(len(owners), bool)
+        again[1:] = (alike[1:] == WINDOW) & (owners[1:] == owners[:-1])
+        window = np.cumsum(alike < WINDOW)[~again] - 1
+        self.owners = owners[~again][np.argsort(ends[window], kind="stable")]
+        self.ends, counts = np.unique(ends[window], return_counts=True)
+        self.owned = np.concatenate([[0], np.cumsum(counts)])
+
+    @staticmethod
+    def _windows(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of word numbers, short items filled up with -1, and the item of each row."""
+        sizes = np.array([len(i) for i in ids], np.int64)
+        fill = np.full(WINDOW, -1, np.int32)
+        words = np.concatenate([*ids, fill])
+        begin = np.concatenate([[0], np.cumsum(sizes)[:-1]]) if ids else sizes
+        count = np.where(sizes > 0, np.maximum(sizes - WINDOW, 0) + 1, 0)
+        owners = np.repeat(np.arange(len(ids), dtype=np.int32), count)
+        start = np.arange(len(owners)) - np.repeat(np.cumsum(count) - count, count) + begin[owners]
+        rows = words[start[:, None] + np.arange(WINDOW)]
+        rows[np.arange(WINDOW) >= sizes[owners][:, None]] = -1
+        return rows, owners
+
+    def _states(self, windows: np.ndarray, alike: np.ndarray) -> np.ndarray:
+        """Make the states; returned is the state behind each window."""
+        lengths = (windows >= 0).sum(1)
+        self.least = int(lengths.min(initial=WINDOW))
+        label, parent, depths = [np.full(1, -1, np.int32)], [np.zeros(1, np.int32)], [0]
+        above, ends, size = np.zeros(len(windows), np.int32), np.zeros(len(windows), np.int32), 1
+        for depth in range(1, WINDOW + 1):
+            new = (alike < depth) & (lengths >= depth)
+            label.append(windows[new, depth - 1])
+            parent.append(above[new])
+            above = (size - 1 + np.cumsum(new)).astype(np.int32)
+            ends[lengths == depth] = above[lengths == depth]
+            size += int(new.sum())
+            depths.append(size)
+        self.label = np.concatenate(label)
+        up = np.concatenate(parent)
+        self.first = (1 + np.searchsorted(up[1:], np.arange(size + 1))).astype(np.int32)
+        self.root = np.zeros(len(self.vocabulary) + 1, np.int32)  # the last entry is that of unknown words
+        self.root[self.label[1 : self.first[1]]] = np.arange(1, self.first[1])
+        self.length = np.zeros(size, np.int8)
+        self.length[ends] = lengths
+        self.reports = self.length > 0
+        self.fail = np.zeros(size, np.int32)
+        for begin, end in itertools.pairwise(depths[1:]):
+            self.fail[begin:end] = self._step(self.fail[up[begin:end]], self.label[begin:end])
+            self.reports[begin:end] |= self.reports[self.fail[begin:end]]
+        return ends
+
+    def nbytes(self) -> int:
+        return sum(x.nbytes for x in vars(self).values() if isinstance(x, np.ndarray))
+
+    def _child(self, state: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """The states behind one word more, 0 where there is none."""
+        low, end = self.first[state], self.first[state + 1]
+        high = end.copy()
+        while len(at := np.flatnonzero(low < high)):
+            middle = low[at] + (high[at] - low[at]) // 2
+            less = self.label[middle] < word[at]
+            low[at[less]] = middle[less] + 1
+            high[at[~less]] = middle[~less]
+        there = low < end
+        there[there] = self.label[low[there]] == word[there]
+        return np.where(there, low, 0)
+
+    def _step(self, state: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Every state after its next word."""
+        out = self.root[word]
+        at = np.flatnonzero((state > 0) & (word >= 0))
+        state = state[at]
+        while len(at):
+            child = self._child(state, word[at])
+            out[at[child > 0]] = child[child > 0]
+            state = self.fail[state]
+            on = (child == 0) & (state > 0)  # at the root the word alone decides
+            at, state = at[on], state[on]
+        return out
+
+    def _run(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places and states of one pass over word numbers, where windows end.
+
+        The pass goes along many lanes at once. Each first reads the words before it that a state can depend on.
+        """
+        before = WINDOW - 1
+        lanes = -(-len(words) // LANE)
+        padded = np.full(before + lanes * LANE, -1, np.int32)
+        padded[before : before + len(words)] = words
+        columns = np.lib.stride_tricks.sliding_window_view(padded, before + LANE)[::LANE].T
+        state, places, states = np.zeros(lanes, np.int32), [], []
+        for n, column in enumerate(columns):
+            state = self._step(state, column)
+            if n >= before and len(at := np.flatnonzero(self.reports[state])):
+                places.append(at * LANE + n - before)
+                states.append(state[at])
+        if not places:
+            return np.zeros(0, np.int64), np.zeros(0, np.int32)
+        return np.concatenate(places), np.concatenate(states)
+
+    def _matches(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of the last word, and state, of every window that occurs, by place."""
+        # Only runs of known words that are long enough for a window are read.
+        edge = np.diff(np.concatenate([[0], (words >= 0).view(np.int8), [0]]))
+        begin, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        enough = stop - begin >= self.least
+        begin, size = begin[enough], (stop - begin)[enough] + 1  # with the unknown word behind
+        if not len(size):
+            return np.zeros(0, np.int64), np.zeros(0, np.int32)
+        origin = np.arange(size.sum()) + np.repeat(begin - (np.cumsum(size) - size), size)
+        place, state = self._run(words[origin])
+        place, places, states = origin[place], [origin[:0]], [state[:0]]
+        while len(state):
+            full = self.length[state] > 0
+            places.append(place[full])
+            states.append(state[full])
+            state = self.fail[state]
+            place, state = place[self.reports[state]], state[self.reports[state]]
+        place, state = np.concatenate(places), np.concatenate(states)
+        order = np.argsort(place, kind="stable")
+        return place[order], state[order]
+
+    def scan_all(self, texts: list[str | None]) -> list[Findings]:
+        """For each text what ``scan`` returns; all of them are read in one pass."""
+        if not hasattr(self, "number"):
+            self.number = {w: n for n, w in enumerate(self.vocabulary)}
+        parts, sizes = [], []
+        for text in texts:
             words = words_of(text)
-            length = min(WINDOW, len(words))
-            for at in range(len(words) - length + 1 if words else 0):
-                owners = windows.setdefault(_joined_words(words[at : at + length]), (length, []))[1]
-                if not owners or owners[-1] != name:
-                    owners.append(name)
-        self.machine = ahocorasick.Automaton(ahocorasick.STORE_ANY) if windows else None
-        if windows:
-            for window, value in windows.items():
-                self.machine.add_word(window, value)
-            self.machine.make_automaton()
-
-    def scan(self, text: str | None) -> tuple[int, list[int], list[str | None], list[tuple[int, int]]]:
+            sizes.append(len(words))
+            parts.append(np.fromiter(map(self.number.get, words, itertools.repeat(-1)), np.int32, len(words)))
+            parts.append(np.full(1, -1, np.int32))
+        out: list[Findings] = [(n, [], [], []) for n in sizes]
+        if not parts:
+            return out
+        begin = np.cumsum(np.array(sizes) + 1) - np.array(sizes) - 1
+        place, state = self._matches(np.concatenate(parts))
+        of = np.searchsorted(begin, place, side="right") - 1
+        texts_hit, first = np.unique(of, return_index=True)
+        for n, a, b in zip(texts_hit.tolist(), first, np.append(first, len(of))[1:], strict=True):
+            last, ends = place[a:b] - begin[n], state[a:b]
+            spans = _joined(list(zip((last - self.length[ends] + 1).tolist(), last.tolist(), strict=True)))
+            rank = np.searchsorted(self.ends, np.unique(ends))
+            owners = np.concatenate([self.owners[self.owned[r] : self.owned[r + 1]] for r in rank])
+            found = {self.names[i] for i in np.unique(owners).tolist()}
+            hit_words = [w for x, y in spans for w in range(x, y + 1)]
+            out[n] = (sizes[n], hit_words, sorted(found, key=lambda name: name or ""), _offsets(texts[n], spans))
+        return out
+
+    def scan(self, text: str | None) -> Findings:
         """Word count, places of hit words, ids of items found, and hit passages as character offsets."""
-        words = words_of(text)
-        if not self.machine or not words:
-            return len(words), [], [], []
-        line = _joined_words(words)
-        matches = list(self.machine.iter(line))
-        if not matches:
-            return len(words), [], [], []
-        # A match ends at the space behind its last word; the number of that word is the number of spaces so far.
-        spaces = np.flatnonzero(np.frombuffer(line.encode("utf-32-le"), "<u4") == 32)
-        last = np.searchsorted(spaces, [end for end, _ in matches]) - 1
-        found: set[str | None] = set()
-        spans = []
-        for end, (_, (length, owners)) in zip(last.tolist(), matches, strict=True):
-            found.update(owners)
-            spans.append((end - length + 1, end))
-        spans = _joined(spans)
-        return len(words), [w for a, b in spans for w in range(a, b + 1)], sorted(found, key=lambda name: name or ""), _offsets(text, spans)
-
-
-def _joined_words(words: list[bytes]) -> str:
-    return " " + b" ".join(words).decode("utf-8", "surrogatepass") + " "
+        return self.scan_all([text])[0]
 
 
 def _joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -141,18 +279,20 @@ def item_blocks(items: DataFrame, id_column: str = "item_id", text_column: str =
 
 
 def scan(docs: DataFrame, items: list[tuple[str | None, str]], text: str = "text", output: str = "found") -> DataFrame:
-    """Add the struct ``output``: findings of one block of items in each whole text."""
+    """Add the struct ``output``: findings of one block of items in each whole text.
 
-    def prepare():
-        automaton = Automaton(items)
+    The automaton is made once and broadcast; the block's characters bound its size.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(Automaton(items))
 
+    def prepare(automaton):
         def compute(texts):
-            rows = (automaton.scan(t.as_py()) for t in texts)
+            rows = automaton.scan_all(texts.to_pylist())
             return [[dict(zip(FOUND.fieldNames(), (n, w, i, [{"start": a, "end": b} for a, b in s]), strict=True)) for n, w, i, s in rows]]
 
         return compute
 
-    return append_columns(docs, [text], T.StructType([T.StructField(output, FOUND)]), prepare)
+    return append_columns(docs, [text], T.StructType([T.StructField(output, FOUND)]), prepare, shared)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", unnamed: bool = False) -> DataFrame:
