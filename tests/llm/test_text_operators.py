@@ -231,6 +231,17 @@ def test_the_automatons_size_is_bounded_by_the_items():
         assert decontamination.Automaton(items).nbytes() < 100 * sum(len(t) for _, t in items)
 
 
+@pytest.mark.parametrize("block", [1, 200_000])
+def test_columns_named_like_the_operators_own_stay(spark, monkeypatch, block):
+    monkeypatch.setattr(decontamination, "BLOCK_CHARS", block)
+    docs = spark.createDataFrame([("p", "f", "one two", "w", 1)], "__place string, __found string, Text string, words string, N_Hit int")
+    items = spark.createDataFrame([(1, "one two"), (2, "two")], "item_id long, text string")
+    found = decontamination.decontaminate(docs, items, "text")
+    row = found.drop("hits").first()
+    assert found.columns == ["__place", "__found", "Text", "words", "n_words", "n_hit", "items", "hits", "n_items", "contaminated"]
+    assert tuple(row) == ("p", "f", "one two", "w", 2, 2, ["1", "2"], 2, True)
+
+
 def test_items_without_id_count_as_in_the_sql(spark, monkeypatch, tmp_path):
     from corpus_pipeline import drop_contaminated
 
@@ -591,6 +602,21 @@ def test_folds_and_samples(spark):
     assert labelled_sample(df.limit(0), df, "quality", 8) == [] == labelled_sample(df, df.limit(0), "quality", 8)
 
 
+def test_sample_takes_usable_texts_and_ids_of_any_kind(spark, monkeypatch):
+    from workledger.llm import common
+
+    rows = [(f"id{n}", f"text {n}" if n % 2 else "x" * 100, n % 3) for n in range(90)]
+    df = spark.createDataFrame(rows, "doc_id string, text string, quality int")
+    absent = spark.createDataFrame([(f"no{n}", n % 3) for n in range(200)], "doc_id string, quality int")
+    labels = df.select("doc_id", "quality").unionByName(absent)
+    learned = {i for i, t, _ in rows if zlib.crc32(i.encode()) % 3 != 1 and len(t) < 50}
+    sample = common.labelled_sample(df, labels, "quality", 1000, max_chars=50)
+    assert {t for t, _ in sample} == {t for i, t, _ in rows if i in learned}
+    assert Counter(q for _, q in common.labelled_sample(df, labels, "quality", 4, max_chars=50)) == {0: 4, 1: 4, 2: 4}
+    monkeypatch.setattr(common, "SAMPLE_TOTAL", 3 * 2 * common.SAMPLE_CHARS)
+    assert Counter(q for _, q in common.labelled_sample(df, labels, "quality", 4, max_chars=50)) == {0: 2, 1: 2, 2: 2}
+
+
 def test_repeated_rows_take_one_place_in_a_sample(spark):
     from workledger.llm.common import labelled_sample
 

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 HELD_OUT = 1
 BATCH_BYTES = 4 << 20
 SAMPLE_CHARS = 50_000
+# What the driver receives of all labels together, however many there are (but one text of each).
+SAMPLE_TOTAL = 400_000_000
 
 
 class Lookup:
@@ -123,35 +125,43 @@ def append_columns(
     return sent.mapInArrow(portable(run, shared), schema)
 
 
-def least_hashed(examples: DataFrame, rows_per_label: int) -> list[tuple[int, object]]:
+def _id_type(*tables: DataFrame) -> str:
+    """Ids are integers, or text if those of any table are not."""
+    return "long" if all(isinstance(t.schema["doc_id"].dataType, T.IntegralType) for t in tables) else "string"
+
+
+def least_hashed(examples: DataFrame, rows_per_label: int) -> list[tuple[int | str, object]]:
     """Of the distinct (doc_id, label) rows, those with the ``rows_per_label`` smallest hashes of their id in each label.
 
     All labels are taken in one job, however many there are. What the driver
     sorts was cut before by the hash below which a little more than
-    ``rows_per_label`` rows of the label are expected. Rows with a null are left out.
+    ``rows_per_label`` rows of the label are expected. Of very many labels fewer rows each are taken:
+    ``SAMPLE_TOTAL`` bounds the texts of them all. Rows with a null are left out; ids are integers or text.
     """
-    examples = examples.select(F.col("doc_id").cast("long").alias("doc_id"), "label").dropna().distinct()
+    examples = examples.select(F.col("doc_id").cast(_id_type(examples)).alias("doc_id"), "label").dropna().distinct()
     order = F.xxhash64("doc_id")
     # Eight standard deviations above what is needed.
     share = (rows_per_label + 8 * rows_per_label**0.5 + 32) / F.col("count")
     below = F.when(share < 1, share * 2.0**64 - 2.0**63).otherwise(2.0**63).alias("below")
     bounds = examples.groupBy("label").count().select("label", below)
     near = examples.join(F.broadcast(bounds), "label").filter(order <= F.col("below"))
-    by_label: dict[object, list[tuple[int, int]]] = {}
+    by_label: dict[object, list[tuple[int, int | str]]] = {}
     for row in near.select("label", order.alias("order"), "doc_id").collect():
         by_label.setdefault(row.label, []).append((row.order, row.doc_id))
-    return [(i, label) for label, found in by_label.items() for _, i in sorted(found)[:rows_per_label]]
+    rows = min(rows_per_label, max(1, SAMPLE_TOTAL // (SAMPLE_CHARS * max(1, len(by_label)))))
+    return [(i, label) for label, found in by_label.items() for _, i in sorted(found)[:rows]]
 
 
-def texts_of(texts: DataFrame, chosen: list[tuple[int, object]], label_type: str) -> list[tuple[str, object]]:
+def texts_of(texts: DataFrame, chosen: list[tuple[int | str, object]], label_type: str) -> list[tuple[str, object]]:
     """One (text, label) row for each chosen id and label, by id; ``texts`` may have a label column of its own.
 
     Of several texts under one id the smallest is taken, before the driver receives any.
     """
     if not chosen:
         return []
-    ids = texts.sparkSession.createDataFrame(sorted(chosen), f"doc_id long, label {label_type}")
-    own = texts.withColumn("doc_id", F.col("doc_id").cast("long"))
+    id_type = "long" if isinstance(chosen[0][0], int) else "string"
+    ids = texts.sparkSession.createDataFrame(sorted(chosen), f"doc_id {id_type}, label {label_type}")
+    own = texts.withColumn("doc_id", F.col("doc_id").cast(id_type))
     joined = own.join(F.broadcast(ids), [c for c in ids.columns if c in texts.columns])
     rows = joined.groupBy("doc_id", "label").agg(F.min("text").alias("text")).collect()
     return [(row.text, row.label) for row in sorted(rows, key=lambda r: (r.doc_id, r.label))]
@@ -165,8 +175,11 @@ def labelled_sample(
     The ids with the smallest hashes are taken, each once however often it is
     repeated, so the sample is the same whatever the partitioning. Texts over
     ``max_chars`` are left out of the sample, which bounds what the driver
-    receives. Rows without text, id or label are no examples.
+    receives. Rows without text, id or label are no examples, nor are labels of documents without such a
+    text; they take no example's place.
     """
-    usable = labels.filter(~held_out()).select("doc_id", F.col(label).cast("int").alias("label"))
-    texts = docs.select("doc_id", "text").filter(F.length("text") <= max_chars)
+    own_id = F.col("doc_id").cast(_id_type(docs, labels)).alias("doc_id")
+    texts = docs.select(own_id, "text").filter(F.length("text") <= max_chars)
+    usable = labels.filter(~held_out()).select(own_id, F.col(label).cast("int").alias("label"))
+    usable = usable.join(texts.select("doc_id"), "doc_id", "left_semi")
     return texts_of(texts, least_hashed(usable, rows_per_label), "int")

@@ -307,27 +307,29 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", unn
     made = ["n_words", "n_hit", "n_items", "items", "hits", "contaminated"]
     blocks = item_blocks(benchmark, unnamed=unnamed)
     first, second = next(blocks, []), next(blocks, None)
-    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in made]
+    # Columns go by place meanwhile, so that no name of theirs clashes.
+    held = docs.toDF(*[f"c{n}" for n in range(len(docs.columns))])
+    text = next(h for h, c in zip(held.columns, docs.columns, strict=True) if c.lower() == text.lower())
     if second is None:
         fields = ["__found.hit_words", "__found.items", "__found.hits"]
-        out = scan(docs, first, text, "__found")
+        out = scan(held, first, text, "__found")
     else:
-        rows = materialize(docs.withColumn("__place", F.monotonically_increasing_id()), "documents")
+        rows = materialize(held.withColumn("__place", F.monotonically_increasing_id()), "documents")
         path = fresh_folder(docs.sparkSession, "found")
         # A job for each block, so that a task holds one automaton; only documents with hits are written.
         for block in itertools.chain([second], blocks):
-            found = scan(rows.select("__place", F.col(f"`{text}`").alias("__text")), block, "__text", "__found")
+            found = scan(rows.select("__place", F.col(text).alias("__text")), block, "__text", "__found")
             found.filter(F.size("__found.hits") > 0).select("__place", "__found").write.mode("append").parquet(path)
         fields = ["hit_words", "items", "hits"]
         others = docs.sparkSession.read.schema(T.StructType([T.StructField("__place", T.LongType()), T.StructField("__found", FOUND)])).parquet(path)
         others = others.groupBy("__place").agg(*[F.flatten(F.collect_list(f"__found.{f}")).alias(f"__{f}") for f in fields])
         both = lambda f: F.concat(f"__found.{f}", F.coalesce(f"__{f}", F.array())).alias(f"__all_{f}")
         out = scan(rows, first, text, "__found").join(others, "__place", "left")
-        out = out.select(*kept, "__found", *[both(f) for f in fields])
+        out = out.select(*held.columns, "__found", *[both(f) for f in fields])
         fields = [f"__all_{f}" for f in fields]
     hit_words, items, hits = fields
     out = out.select(
-        *kept,
+        *[F.col(h).alias(c) for h, c in zip(held.columns, docs.columns, strict=True) if c.lower() not in made],
         F.col("__found.n_words").alias("n_words"),
         F.size(F.array_distinct(hit_words)).cast("long").alias("n_hit"),
         F.sort_array(F.array_distinct(items)).alias("items"),
