@@ -11,7 +11,7 @@ import workledger.operators.ranks  # noqa: F401
 from workledger import operators
 from workledger.operators.existence import flag_known, unknown_references
 from workledger.operators.merge import merge_latest, upsert
-from workledger.operators.previous import heavy_keys, with_previous
+from workledger.operators.previous import CHUNK_ROWS, chunks_of, heavy_keys, with_previous
 from workledger.operators.ranks import row_numbers
 from workledger.plans import marts
 from workledger.plans.stats import distinct_sketches, sketched_counts
@@ -56,6 +56,17 @@ def test_previous_value_of_large_keys(spark, chunk_rows):
     assert [row.work_order_id for row in heavy_keys(df, "work_order_id", 1000).collect()] == ["HOT"]
 
 
+def test_small_chunks_do_not_make_a_task_each(spark):
+    data, df = skewed_events(spark)
+    rows = marts.event_transitions(df, 3)
+    assert {row.event_id: row.previous_event_type for row in rows.collect()} == python_transitions(data)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert [chunks_of(spark, n, 3) for n in (2, 10, 4000, 6_000_000)] == [1, min(4, tasks), tasks, tasks]
+    # Ranges stay below the rows that one task takes, however many rows there are.
+    assert chunks_of(spark, 1000 * CHUNK_ROWS, CHUNK_ROWS) == 1001
+    assert chunks_of(spark, 1000 * CHUNK_ROWS, 3) == 1001
+
+
 def test_previous_value_may_be_null(spark):
     data = [("k", n, None if n % 3 else n) for n in range(300)]
     df = spark.createDataFrame(data, "k string, n int, v int")
