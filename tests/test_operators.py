@@ -109,6 +109,23 @@ def merged(spark, target, source):
     }
 
 
+def test_rows_are_narrow_where_ids_are_looked_up(spark, monkeypatch):
+    from workledger.operators import classify as judging
+
+    moved = []
+
+    def looked_up(df, ids, column, flag):
+        moved.append(set(df.columns))
+        return flag_known(df, ids, column, flag, 0)
+
+    monkeypatch.setattr(judging, "flag_known", looked_up)
+    lines = spark.createDataFrame([('{"event_type":"OPENED"}',), ("bad",)], "raw string")
+    ids = spark.createDataFrame([("S1", "T1")], "store_id string, technician_id string")
+    judged = {row.raw: row.reject_reason for row in judging.classify(lines, ids, ids).collect()}
+    assert judged == {'{"event_type":"OPENED"}': "event_id is required", "bad": "invalid JSON"}
+    assert len(moved) == 2 and not any(name in columns for columns in moved for name in ("_doc", "_valid", "_priority_given"))
+
+
 def test_merge_truth_table(spark):
     target = [("newer", 1, "b"), ("other hash", 2, "b"), ("same", 2, "b"), ("older", 2, "b"), ("target only", 1, "b")]
     source = [("newer", 2, "a"), ("other hash", 2, "a"), ("same", 2, "b"), ("older", 1, "z"), ("new", 1, "a")]
