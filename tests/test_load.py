@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 from workledger import schemas
 from workledger.operators.merge import changed_events
 from workledger.plans.checks import constraint_violations
-from workledger.plans import marts
+from workledger.plans import load as load_module, marts, warehouse as warehouse_module
 from workledger.plans.kept import keep_analyses
 from workledger.plans.load import dry_run, load_batch, load_replay, open_rejects, replay_rejects
 from workledger.plans.views import create_views
 from workledger.plans.warehouse import EVENTS, KEPT, REJECTS, Warehouse, bucket_of
+from workledger.session import materialize
 from workledger.streaming.ingest import ingest_stream
 
 DAY = [datetime(2026, 2, day, tzinfo=timezone.utc) for day in range(1, 6)]
@@ -52,6 +53,32 @@ def buckets(spark, *ids, count=64):
     return {r.b for r in rows}
 
 
+def test_first_load_writes_events_to_their_buckets_alone(spark, tmp_path, monkeypatch):
+    """Nothing is stored, so nothing is compared: no table of wide rows lies between the choice of versions and the buckets."""
+    labels = []
+    for module in (warehouse_module, load_module):
+        monkeypatch.setattr(module, "materialize", lambda df, label: (labels.append(label), materialize(df, label))[1])
+    root, ids = str(tmp_path / "warehouse"), [f"E{n}" for n in range(40)]
+    warehouse = Warehouse(spark, root)
+    load_batch(spark, batch(tmp_path / "one", *[line(i, 1) for i in ids], *[line(i, 2, "CLOSED") for i in ids[:3]]), root, run_id="r1", now=DAY[0])
+    assert EVENTS not in labels
+    assert set(warehouse.state().of(EVENTS)) == buckets(spark, *ids)
+    assert events(warehouse) == {i: (("CLOSED" if i in ids[:3] else "OPENED",) + (1, 1) + ("CLOSED" if i in ids[:3] else "OPENED",)) for i in ids}
+    assert warehouse.table("ingestion_runs").first().unique_event_count == 40
+    load_batch(spark, batch(tmp_path / "two", line("E1", 3, "REOPENED"), line("E2", 1)), root, run_id="r2", now=DAY[1])
+    assert EVENTS in labels
+    found = events(warehouse)
+    assert (found["E1"], found["E2"], len(found)) == (("REOPENED", 1, 2, "REOPENED"), ("CLOSED", 1, 1, "CLOSED"), 40)
+
+
+def test_first_load_without_events(spark, tmp_path):
+    root = str(tmp_path / "warehouse")
+    load_batch(spark, batch(tmp_path / "one", "not-json", ""), root, run_id="r1", now=DAY[0])
+    assert events(Warehouse(spark, root)) == {}
+    load_batch(spark, batch(tmp_path / "two", line("E1", 1)), root, run_id="r2", now=DAY[1])
+    assert events(Warehouse(spark, root)) == {"E1": ("OPENED", 2, 2, "OPENED")}
+
+
 def test_load_replay_and_correct(spark, tmp_path):
     root = str(tmp_path / "warehouse")
     warehouse = Warehouse(spark, root)
