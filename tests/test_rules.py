@@ -7,6 +7,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from workledger.functions import payload
 from workledger.functions.text import iso_timestamp
 from workledger.operators.classify import accepted_events, classify
 from workledger.operators.latest import latest_events
@@ -179,6 +180,18 @@ def test_hash_follows_values(spark):
     assert len(pairs) == len(set(hashes)) == len(set(read))
 
 
+def test_floats_are_spelled_without_tokens(spark, monkeypatch):
+    """Numbers that a variant prints as doubles give the text that taking the line apart gives, without doing so."""
+    numbers = ["1.5", "-0.0", "10.0", "1e1", "1000E-2", "1E+5", "-1.25e3", "1e-99", "0.30000000000000004", "1e22", "[1.0,10,-0]", '{"b":2.50,"a":"1.5\\\\\\" 2.0"}']
+    lines = spark.createDataFrame([('{"n": %s, "k\\\\": "x 1.0"}' % n,) for n in numbers], "raw string")
+    by_value = {r.raw: r.text for r in lines.select("raw", payload._by_value(F.col("raw")).alias("text")).collect()}
+    monkeypatch.setattr(payload, "_by_value", lambda raw: F.lit("taken apart"))
+    spelled = lines.select("raw", payload.canonical_text(payload.document(F.col("raw")), F.col("raw")).alias("text"))
+    assert {r.raw: r.text for r in spelled.collect()} == by_value
+    extreme = spark.createDataFrame([('{"n":1e400}',), ("[%s]" % ("9" * 39),)], "raw string")
+    assert {r.text for r in extreme.select(payload.canonical_text(payload.document(F.col("raw")), F.col("raw")).alias("text")).collect()} == {"taken apart"}
+
+
 def test_hash_ignores_formatting_and_keeps_last_repeated_key(spark):
     record = json.loads(event())
     spaced = json.dumps(record, indent=None, separators=(" , ", " : "))
