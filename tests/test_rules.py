@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from workledger.functions import payload
-from workledger.functions.text import iso_timestamp
+from workledger.functions.text import WHITE_SPACE, any_padded, iso_timestamp, stripped
 from workledger.operators.classify import accepted_events, classify
 from workledger.operators.latest import latest_events
 
@@ -150,6 +150,37 @@ def test_fields_are_trimmed_cased_and_read_from_objects(spark):
     assert (row.event_id, row.source_system, row.priority, row.labor_minutes) == ("E1", "app", "P2", 35)
 
 
+def test_padding_of_any_text_is_noticed(spark):
+    texts = ["", "a", "!", "a!", "North West", "é", "日本", "a!b c", "x" * 50, None]
+    texts += [text for c in WHITE_SPACE for text in (c, c + "a", "a" + c, "a" + c + "b", "!" + c, c + "!", "é" + c)]
+    rows = [(a, b, c) for a in texts[:12] for b in texts for c in ("z", None)]
+    df = spark.createDataFrame(rows, "a string, b string, c string")
+    columns = [F.col(name) for name in df.columns]
+    changed = [~stripped(column).eqNullSafe(column) for column in columns]
+    found = df.select(any_padded(columns).alias("padded"), (changed[0] | changed[1] | changed[2]).alias("changed"), "a", "b")
+    assert found.filter("changed and not padded").isEmpty()
+    # Plain texts, white space inside them too, are not taken to the slow way.
+    plain = found.filter(F.coalesce("a", F.lit("a")).isin("a", "North West") & F.coalesce("b", F.lit("a")).isin("a", "North West", "a!", "!", "x" * 50))
+    assert not plain.isEmpty() and plain.filter("padded").isEmpty()
+    # A line with one padded text among plain ones is read like one without padding.
+    padded = {**BASE, "location": {"region": "North West", "store_id": "\u3000S1\x1f"}}
+    row, other = judge(spark, [json.dumps(padded), json.dumps({**padded, "location": {"region": "North West", "store_id": "S1"}})])
+    assert row.reject_reason is None and (row.store_id, row.region) == ("S1", "North West") == (other.store_id, other.region)
+
+
+def test_objects_with_and_without_the_member_read(spark):
+    objects = [{}, {"id": None}, {"other": 1}, {"id": "T1", "more": {"id": 2}}]
+    others = [0, 0.0, "", [], False, None]
+    faulty = [1, "x", [0], True, ["id"]]
+    lines = [event(technician=value, location=DROP, labor=DROP) for value in (*objects, *others, *faulty)]
+    message = "technician and location must be objects when present"
+    reasons = [row.reject_reason for row in judge(spark, lines)]
+    assert reasons == [None] * len(objects + others) + [message] * len(faulty)
+    labors = [event(labor=value) for value in ({}, {"minutes": None}, {"hours": 1}, None, 0, "", [], 5)]
+    reasons = [row.reject_reason for row in judge(spark, labors)]
+    assert reasons == [None] * 4 + ["labor must be an object or null"] * 4
+
+
 def test_staged_rounds_labor(spark):
     raws = [event(labor={"minutes": value}) for value in (1.5, "10", 2.4)]
     assert [row.labor_minutes for row in judge(spark, raws, "staged")] == [2, 10, 2]
